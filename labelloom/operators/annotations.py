@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from labelloom.config import ANNOTATION_COLUMNS
 from labelloom.functions.text import strip
 from labelloom.operators.checks import require_columns
+from labelloom.operators.dedup import keep_first
 
 
 def _indicator(name: str) -> Column:
@@ -25,22 +26,22 @@ def _first_maximum(columns: Sequence[str]) -> Column:
     return chain
 
 
-def single_label_rows(wide: DataFrame, columns: Sequence[str] = ANNOTATION_COLUMNS, text: str = "text") -> DataFrame:
+def single_label_rows(
+    wide: DataFrame, columns: Sequence[str] = ANNOTATION_COLUMNS, text: str = "text", order: str | None = None
+) -> DataFrame:
     """Rows whose indicators sum to exactly one, as distinct (text, label).
 
-    The text is turned into a string before it is checked, so a missing text reads ``nan``.
+    The text is turned into a string before it is checked, so a missing text reads ``nan``. With an
+    order column the first position of every pair is kept next to it.
     """
     require_columns(wide, [text, *columns])
     total = sum((_indicator(c) for c in columns[1:]), _indicator(columns[0]))
-    return (
-        wide.where(total == 1)
-        .select(
-            strip(F.coalesce(F.col(text), F.lit("nan"))).alias("text"),
-            F.lower(_first_maximum(columns)).alias("label"),
-        )
-        .where("text <> ''")
-        .distinct()
-    )
+    folded = wide.where(total == 1).select(
+        strip(F.coalesce(F.col(text), F.lit("nan"))).alias("text"),
+        F.lower(_first_maximum(columns)).alias("label"),
+        *([F.col(order)] if order else []),
+    ).where("text <> ''")
+    return keep_first(folded, ["text", "label"], order) if order else folded.distinct()
 
 
 def label_rows(wide: DataFrame, columns: Sequence[str] = ANNOTATION_COLUMNS, text: str = "text") -> DataFrame:

@@ -87,19 +87,22 @@ def weighted_terms(
     distributed by key once; counting, the norm and anything per key that follows reuse that layout.
     ``max_features`` is the proven row bound of the vocabulary.
     """
-    known = vocab.select("term", "idf", *extra)
+    known = vocab.select("term", "idf")
     placed = df.select(key, terms).repartition(key)
     counted = (
         placed.select(key, F.explode_outer(terms).alias("term"))
         .join(bounded(known, max_features), "term", "left")
         .withColumn("term", F.when(F.col("idf").isNotNull(), F.col("term")))
-        .groupBy(key, "term", "idf", *extra)
+        .groupBy(key, "term", "idf")
         .agg(F.count("*").alias("tf"))
         .withColumn("raw", F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0)))
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.Window.partitionBy(key)))
     weight = F.when(norm > 0, F.col("raw") / norm).otherwise(F.lit(0.0))
-    return counted.withColumn("weight", weight).select(key, "term", "weight", *extra)
+    weighted = counted.withColumn("weight", weight).select(key, "term", "weight")
+    if not extra:
+        return weighted
+    return weighted.join(bounded(vocab.select("term", *extra), max_features), "term", "left")
 
 
 def tfidf(df: DataFrame, vocab: DataFrame, key: str, max_features: int, terms: str = "terms") -> DataFrame:

@@ -49,11 +49,13 @@ def read_csv(
     paths: str | Sequence[str],
     schema: T.StructType | None = None,
     na_tokens: tuple[str, ...] = NA_TOKENS,
+    order: str | None = None,
 ) -> DataFrame:
     """Read one or several CSV parts as one table.
 
     Quoted cells may hold commas, quotes and line breaks. Without a schema every column is text,
     named by the header. Cells spelling a missing value become null, as dataframe readers do.
+    ``order`` adds a column (file, position) that sorts rows as they stand in the files.
     """
     parts = [paths] if isinstance(paths, str) else list(paths)
     for path in parts:
@@ -75,12 +77,13 @@ def read_csv(
         .csv(parts)
     )
     types = {f.name: f.dataType for f in schema} if schema else {}
-    # Compared after trimming for numbers only; text cells must match a token exactly.
+    position = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position")
+    )
+    missing = lambda n: F.col(n).isin(*na_tokens) if na_tokens else F.lit(False)
     return raw.select(
-        *[
-            F.when(~F.col(n).isin(*na_tokens), F.col(n)).cast(types.get(n, T.StringType())).alias(n)
-            for n in names
-        ]
+        *[F.when(~missing(n), F.col(n)).cast(types.get(n, T.StringType())).alias(n) for n in names],
+        *([position.alias(order)] if order else []),
     )
 
 
@@ -96,12 +99,13 @@ def read_annotation_parts(
     paths: Sequence[str],
     columns: Sequence[str] = ANNOTATION_COLUMNS,
     forbid_empty_parts: bool = False,
+    order: str | None = None,
 ) -> DataFrame:
     """All part files of a wide one-hot table."""
     if forbid_empty_parts:
         for path in paths:
             require_rows(read_csv(spark, path), f"{path} has no rows")
-    return read_csv(spark, paths, annotation_schema(columns))
+    return read_csv(spark, paths, annotation_schema(columns), order=order)
 
 
 def parse_label_mapping(raw: object, excluded: Iterable[str] = ()) -> MappingSpec:
