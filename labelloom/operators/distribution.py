@@ -7,16 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import window as W
 
 from labelloom.config import DOMINANT_PERCENT, LABELS, MAX_SOURCES_PER_TARGET
 from labelloom.functions.numeric import percent, round_even
 from labelloom.functions.text import normal_form, word_array
-from labelloom.session import bounded, label_table, small_table
-
-# Windows without a key below run over label-sized results only.
-_ALL = W.Window.partitionBy(F.lit(0))
-
+from labelloom.session import bounded, label_table, small_table, small_window
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("count"))
@@ -35,15 +30,15 @@ def counts_on_labels(df: DataFrame, labels: Sequence[str] = LABELS, label: str =
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     """(label, count, percentage) of the labels present; the denominator is the row count."""
     counted = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("count"))
-    total = F.sum("count").over(_ALL)
+    total = F.sum("count").over(small_window())
     return counted.withColumn("percentage", percent(F.col("count"), total)).where(F.col("label").isNotNull())
 
 
 def class_distribution_full(df: DataFrame, labels: Sequence[str] = LABELS, label: str = "label") -> DataFrame:
     """Same over the whole label list with zeros. Rows with other labels count in the denominator."""
     counted = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("count"))
-    with_total = counted.withColumn("total", F.sum("count").over(_ALL))
-    total = F.greatest(F.max("total").over(_ALL), F.lit(1))
+    with_total = counted.withColumn("total", F.sum("count").over(small_window()))
+    total = F.greatest(F.max("total").over(small_window()), F.lit(1))
     return (
         label_table(df.sparkSession, labels)
         .join(with_total, "label", "left")
@@ -65,7 +60,7 @@ def distribution_block(df: DataFrame, title: str, label: str = "label") -> DataF
 def class_weights(df: DataFrame, labels: Sequence[str] = LABELS, label: str = "label") -> DataFrame:
     """(label, count, weight): n / (classes * count), 6 decimals, 0.0 for an absent class."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("count"))
-    with_total = counts.withColumn("total", F.sum("count").over(_ALL))
+    with_total = counts.withColumn("total", F.sum("count").over(small_window()))
     weight = F.col("total") / (F.lit(len(labels)) * F.col("count"))
     return (
         label_table(df.sparkSession, labels)
@@ -90,7 +85,7 @@ def strict_class_weights(df: DataFrame, labels: Sequence[str] = LABELS, label: s
 def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """(label, count, weight) over the classes present: n / (present * count), unrounded."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("count"))
-    total, present = F.sum("count").over(_ALL), F.count("*").over(_ALL)
+    total, present = F.sum("count").over(small_window()), F.count("*").over(small_window())
     return counts.withColumn("weight", total / (present * F.col("count")))
 
 
@@ -127,7 +122,7 @@ def merge_distributions(df: DataFrame, labels: Sequence[str] = LABELS) -> DataFr
 def dominant_class(distribution: DataFrame) -> DataFrame:
     """The class with the largest percentage; equal ones go to the first by name."""
     best = F.max_by(F.struct("label", "count", "percentage"), F.struct("percentage", "_rev"))
-    ranked = distribution.withColumn("_rev", -F.row_number().over(W.Window.partitionBy(F.lit(0)).orderBy("label")))
+    ranked = distribution.withColumn("_rev", -F.row_number().over(small_window().orderBy("label")))
     return ranked.agg(best.alias("b")).select("b.*")
 
 
@@ -149,7 +144,7 @@ def distribution_warnings(distribution: DataFrame, sources_by_target: Mapping[st
         },
     ).where(F.col("n").cast("int") > MAX_SOURCES_PER_TARGET)
     numbered = broad.select(
-        F.row_number().over(W.Window.partitionBy(F.lit(0)).orderBy("target")).alias("pos"),
+        F.row_number().over(small_window().orderBy("target")).alias("pos"),
         F.format_string(
             "Mapping breadth warning: '%s' contains %s source labels (%s).", "target", "n", "sources"
         ).alias("warning"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from labelloom.functions.text import clean
-from labelloom.session import bounded
+from labelloom.session import bounded, small_window
 
 # Fixed value: a token is a run of two or more word characters of cleaned text.
 TOKEN = "([a-z0-9]{2,})"
@@ -63,7 +63,7 @@ def term_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
 def vocabulary(statistics: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
     """(term, tf, df, term_id): the most frequent terms, ties by name; ids follow the names."""
     kept = statistics.where(F.col("df") >= min_df).orderBy(F.desc("tf"), "term").limit(max_features)
-    by_name = W.Window.partitionBy(F.lit(0)).orderBy("term")
+    by_name = small_window().orderBy("term")
     return kept.withColumn("term_id", F.row_number().over(by_name) - 1)
 
 

@@ -75,25 +75,19 @@ def mapping_audit(counts: DataFrame, spec: MappingSpec, warnings: DataFrame | No
             F.when(F.col("mapped_label").isNotNull(), F.struct("mapped_label", "n"))
         ).alias("_mapped"),
     )
-    targets = sorted(set(spec.accepted.values()))
-    by_target = F.map_from_entries(
-        F.filter(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(target).alias("label"),
-                        F.aggregate(
-                            F.filter("_mapped", lambda e, target=target: e["mapped_label"] == target),
-                            F.lit(0).cast("long"),
-                            lambda acc, e: acc + e["n"],
-                        ).alias("n"),
-                    )
-                    for target in targets
-                ]
-            ),
-            lambda e: e["n"] > 0,
-        )
-    ) if targets else F.create_map().cast("map<string,bigint>")
+    def total_of(target: str) -> Column:
+        mine = F.filter("_mapped", lambda e: e["mapped_label"] == target)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
+
+    totals = [
+        F.struct(F.lit(target).alias("label"), total_of(target).alias("n"))
+        for target in sorted(set(spec.accepted.values()))
+    ]
+    by_target = (
+        F.map_from_entries(F.filter(F.array(*totals), lambda e: e["n"] > 0))
+        if totals
+        else F.create_map().cast("map<string,bigint>")
+    )
     strings = T.ArrayType(T.StringType())
     lit_strings = lambda values: F.array(*[F.lit(v) for v in values]).cast(strings)
     sources = [v for t, s in spec.sources_by_target().items() for v in (F.lit(t), lit_strings(s))]

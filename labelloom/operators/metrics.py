@@ -10,12 +10,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from labelloom.functions.numeric import ratio_or_zero, round_even
-from labelloom.session import label_table, small_table
+from labelloom.session import label_table, small_table, small_window
 
-_ALL = W.Window.partitionBy(F.lit(0))
+_SCORES = "struct<precision:double,recall:double,`f1-score`:double,support:bigint>"
+_HEADLINE = "accuracy double, macro_precision double, macro_recall double, macro_f1 double, weighted_f1 double"
+# Schema of the nested report, for reading it back from JSON.
+REPORT_SCHEMA = (
+    f"{_HEADLINE}, classification_report map<string,{_SCORES}>, "
+    f"validation struct<{_HEADLINE.replace(' double', ':double')},classification_report:map<string,{_SCORES}>>"
+)
 
 
 def pair_counts(predictions: DataFrame) -> DataFrame:
@@ -148,7 +153,7 @@ def top_confusions(predictions: DataFrame, n: int | None = None) -> DataFrame:
         .agg(F.count("*").alias("count"), F.avg("confidence").alias("_mean"))
     )
     order = [F.desc("count"), F.desc("_mean"), F.col("true_label"), F.col("predicted_label")]
-    ranked = grouped.withColumn("rank", F.row_number().over(_ALL.orderBy(*order)))
+    ranked = grouped.withColumn("rank", F.row_number().over(small_window().orderBy(*order)))
     if n is not None:
         ranked = ranked.where(F.col("rank") <= n)
     return ranked.select(

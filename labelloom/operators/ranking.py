@@ -11,7 +11,7 @@ from pyspark.sql import window as W
 
 from labelloom.config import LABELS
 from labelloom.functions.hashing import as_list, seeded_hash
-from labelloom.session import bounded, label_table, small_table
+from labelloom.session import bounded, label_table, small_table, small_window
 
 HEX_DIGITS = 4
 BUCKETS = 16**HEX_DIGITS
@@ -108,7 +108,7 @@ def seeded_positions(
     hashed = df.withColumn("_h", seeded_hash(seed, *keys)).withColumn("_b", bucket_of(F.col("_h")))
     counts = hashed.groupBy("_b").agg(F.count("*").alias("n"))
     before = F.coalesce(
-        F.sum("n").over(W.Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.Window.unboundedPreceding, -1)),
+        F.sum("n").over(small_window().orderBy("_b").rowsBetween(W.Window.unboundedPreceding, -1)),
         F.lit(0),
     )
     offsets = counts.select("_b", before.alias("_before"))

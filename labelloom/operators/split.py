@@ -18,9 +18,8 @@ from labelloom.config import SplitSpec
 from labelloom.functions.hashing import as_list, seeded_hash
 from labelloom.operators.checks import require_class_sizes
 from labelloom.operators.ranking import bucket_of
-from labelloom.session import bounded
+from labelloom.session import bounded, small_window
 
-_ALL = W.Window.partitionBy(F.lit(0))
 MAX_LABELS = 10_000
 
 
@@ -29,15 +28,15 @@ def _apportion(counts: DataFrame, rows: str, draws: Column, out: str) -> DataFra
 
     Whole-number arithmetic, so shares do not depend on rounding.
     """
-    total = F.sum(rows).over(_ALL)
+    total = F.sum(rows).over(small_window())
     exact = F.col(rows) * draws
     shared = (
         counts.withColumn("_total", total)
         .withColumn("_floor", F.expr("0L") + F.floor((exact - exact % F.col("_total")) / F.col("_total")))
         .withColumn("_rest", exact % F.col("_total"))
     )
-    rank = F.row_number().over(_ALL.orderBy(F.desc("_rest"), "label"))
-    missing = draws - F.sum("_floor").over(_ALL)
+    rank = F.row_number().over(small_window().orderBy(F.desc("_rest"), "label"))
+    missing = draws - F.sum("_floor").over(small_window())
     return (
         shared.withColumn("_rank", rank)
         .withColumn("_missing", missing)
@@ -48,7 +47,7 @@ def _apportion(counts: DataFrame, rows: str, draws: Column, out: str) -> DataFra
 
 def quotas(counts: DataFrame, spec: SplitSpec) -> DataFrame:
     """(label, count, n_test, n_validation, n_train) from (label, count); label-sized throughout."""
-    n = F.sum("count").over(_ALL)
+    n = F.sum("count").over(small_window())
     stage = counts.select("label", "count").withColumn("_keep", n - F.ceil(n * F.lit(spec.test_size)))
     stage = _apportion(stage, "count", F.col("_keep"), "_left")
     if spec.validation_size == 0:
@@ -56,7 +55,7 @@ def quotas(counts: DataFrame, spec: SplitSpec) -> DataFrame:
             "label", "count", (F.col("count") - F.col("_left")).alias("n_test"),
             F.lit(0).cast("long").alias("n_validation"), F.col("_left").alias("n_train"),
         )
-    left = F.sum("_left").over(_ALL)
+    left = F.sum("_left").over(small_window())
     stage = stage.withColumn("_keep", left - F.ceil(left * F.lit(spec.validation_ratio)))
     stage = _apportion(stage, "_left", F.col("_keep"), "n_train")
     return stage.select(

@@ -101,12 +101,8 @@ def run_error_analysis(spark: SparkSession, config: RunConfig, root: str, output
 
 def headline_metrics(spark: SparkSession, report_path: str) -> DataFrame:
     """(metric, value) of a saved report; a metric it lacks reads 0."""
-    report = read_report(spark, report_path)
-    present = [F.col(m) if m in report.columns else F.lit(0.0).alias(m) for m in HEADLINES]
-    extra = []
-    if "validation" in report.columns:
-        extra = [F.col("validation.macro_f1").alias("validation_macro_f1")]
-    wide = report.select(*present, *extra).fillna(0.0)
+    report = read_report(spark, report_path, metrics.REPORT_SCHEMA)
+    wide = report.select(*HEADLINES, F.col("validation.macro_f1").alias("validation_macro_f1")).fillna(0.0)
     return wide.unpivot([], wide.columns, "metric", "value")
 
 

@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # A table is only broadcast on our own hint when its row count is bounded by configuration.
@@ -50,3 +50,8 @@ def label_table(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint for a table with at most ``max_rows`` rows, a bound the caller can prove."""
     return F.broadcast(df) if max_rows <= MAX_HINTED_ROWS else df
+
+
+def small_window() -> WindowSpec:
+    """One window over everything, for label-sized or otherwise bounded results only."""
+    return Window.partitionBy(F.lit(0))

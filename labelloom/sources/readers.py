@@ -130,10 +130,11 @@ def read_label_mapping(spark: SparkSession, path: str, excluded: Iterable[str] =
     return parse_label_mapping(json.loads(_read_text_file(spark, path)), excluded)
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """A report written by ``write_report``: one row, nested fields."""
+def read_report(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A report written by ``write_report``: one row, nested fields. Fields it lacks read null."""
     _check_exists(spark, path)
-    return spark.read.option("multiLine", True).json(path)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.json(path)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
