@@ -191,7 +191,7 @@ predictions AS (
     FROM (SELECT *, md5('p:' || ord) AS h FROM prep)))"""
 SQL_LOGITS = f"""
 logits AS (
-  SELECT vec_id, ({_LIST})[label % 6 + 1] AS label, list_transform(embedding[1:6], x -> x::DOUBLE) AS logits
+  SELECT vec_id, ({_LIST})[label % 6 + 1] AS label, list_transform(embedding[1:6], lambda x: x::DOUBLE) AS logits
   FROM embeddings)"""
 
 

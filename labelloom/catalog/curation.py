@@ -390,7 +390,7 @@ def distribution_block(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("text_diversity", f"""
-WITH w AS (SELECT list_filter(string_split({b.sql_normal('text')}, ' '), x -> x <> '') AS words FROM documents)
+WITH w AS (SELECT list_filter(string_split({b.sql_normal('text')}, ' '), lambda x: x <> '') AS words FROM documents)
 SELECT count(*) AS rows, (SELECT count(DISTINCT word) FROM (SELECT unnest(words) AS word FROM w)) AS vocabulary_size,
        round_even(sum(len(words)) / greatest(count(*), 1), 2) AS average_words_per_example FROM w""")
 def text_diversity(spark: SparkSession, sf: str) -> DataFrame:
@@ -526,13 +526,16 @@ def stratified_split_orders(spark: SparkSession, sf: str) -> DataFrame:
     return split.assign_split(orders, SPLIT, "o_orderkey")
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
 @query("stratified_split_lineitem", f"""
-WITH src AS (SELECT l_returnflag AS label, l_orderkey, l_linenumber FROM lineitem),
-{sql_split('src', "l_orderkey || ':' || l_linenumber", 'l_orderkey, l_linenumber', SplitSpec(0.25, 0.25, 7))}
-SELECT label, l_orderkey, l_linenumber, split FROM tagged""")
+WITH src AS (SELECT l_returnflag AS label, {", ".join(LINE_KEY)} FROM lineitem),
+{sql_split('src', " || ':' || ".join(LINE_KEY), ", ".join(LINE_KEY), SplitSpec(0.25, 0.25, 7))}
+SELECT label, {", ".join(LINE_KEY)}, split FROM tagged""")
 def stratified_split_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    items = b.read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("label"), "l_orderkey", "l_linenumber")
-    return split.assign_split(items, SplitSpec(0.25, 0.25, 7), ["l_orderkey", "l_linenumber"])
+    items = b.read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("label"), *LINE_KEY)
+    return split.assign_split(items, SplitSpec(0.25, 0.25, 7), LINE_KEY)
 
 
 @query("two_way_split", f"""

@@ -108,9 +108,10 @@ def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CONFUSIONS = f"""{PRED},
-g AS (SELECT true_label, predicted_label, count(*) AS count, avg(confidence) AS m FROM predictions WHERE NOT is_correct GROUP BY 1, 2)
+g AS (SELECT true_label, predicted_label, count(*) AS count,
+            sum(round(confidence * 10000)::BIGINT) / count(*) AS m FROM predictions WHERE NOT is_correct GROUP BY 1, 2)
 SELECT row_number() OVER (ORDER BY count DESC, m DESC, true_label, predicted_label) AS rank,
-       true_label, predicted_label, count, round_even(m, 4) AS average_confidence FROM g"""
+       true_label, predicted_label, count, round_even(m, 0) / 10000 AS average_confidence FROM g"""
 
 
 @query("top_confusions", f"{_CONFUSIONS} QUALIFY rank <= 20")
@@ -188,8 +189,8 @@ def headline_comparison(spark: SparkSession, sf: str) -> DataFrame:
 # --- logits --------------------------------------------------------------------------------------
 
 _SOFT = f"""WITH {b.SQL_LOGITS},
-shifted AS (SELECT *, list_transform(logits, x -> exp(x - list_max(logits))) AS e FROM logits),
-soft AS (SELECT vec_id, label, logits, list_transform(e, x -> x / list_sum(e)) AS p FROM shifted),
+shifted AS (SELECT *, list_transform(logits, lambda x: exp(x - list_max(logits))) AS e FROM logits),
+soft AS (SELECT vec_id, label, logits, list_transform(e, lambda x: x / list_sum(e)) AS p FROM shifted),
 flat AS (SELECT vec_id, label, unnest({b.SQL_LABEL_LIST}) AS class, unnest(p) AS score, generate_subscripts(p, 1) AS i FROM soft)"""
 
 
@@ -268,7 +269,7 @@ def weighted_log_loss(spark: SparkSession, sf: str) -> DataFrame:
 
 _TERMS = f"""
 words AS (SELECT doc_id, regexp_extract_all({b.sql_clean('text')}, '[a-z0-9]{{2,}}') AS w FROM documents),
-terms AS (SELECT doc_id, list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS terms FROM words),
+terms AS (SELECT doc_id, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS terms FROM words),
 hits AS (SELECT doc_id, unnest(terms) AS term FROM terms),
 stats AS (SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM hits GROUP BY 1),
 top AS (SELECT * FROM stats WHERE df >= 2 ORDER BY tf DESC, term LIMIT 5000),

@@ -145,19 +145,21 @@ def confusion_matrix(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
 def top_confusions(predictions: DataFrame, n: int | None = None) -> DataFrame:
     """(rank, true_label, predicted_label, count, average_confidence) of the wrong rows.
 
-    The mean is over confidences that were already rounded to four places.
+    The mean is over confidences that were already rounded to four places, so they are summed as
+    whole ten-thousandths and the result does not depend on the order of the rows.
     """
     grouped = (
         predictions.where(F.col("true_label") != F.col("predicted_label"))
         .groupBy("true_label", "predicted_label")
-        .agg(F.count("*").alias("count"), F.avg("confidence").alias("_mean"))
+        .agg(F.count("*").alias("count"), F.sum(F.round(F.col("confidence") * 10000).cast("long")).alias("_sum"))
+        .withColumn("_mean", F.col("_sum") / F.col("count"))
     )
     order = [F.desc("count"), F.desc("_mean"), F.col("true_label"), F.col("predicted_label")]
     ranked = grouped.withColumn("rank", F.row_number().over(small_window().orderBy(*order)))
     if n is not None:
         ranked = ranked.where(F.col("rank") <= n)
     return ranked.select(
-        "rank", "true_label", "predicted_label", "count", round_even(F.col("_mean"), 4).alias("average_confidence")
+        "rank", "true_label", "predicted_label", "count", (round_even(F.col("_mean"), 0) / 10000).alias("average_confidence")
     )
 
 
