@@ -44,6 +44,7 @@ class TermBuilder(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return with_terms(dataset, self.getInputCol(), self.getOutputCol(), span)
 
 
+ROWS_PER_TASK = 5_000
 _SCRATCH = ("terms", "_counts", "_scaled", "features", "rawPrediction", "prediction")
 
 
@@ -139,12 +140,14 @@ def fit_text_classifier(
         features = (
             attach_weights(vectors.join(ids, "label"), table, len(labels))
             .select(F.col("label_id").cast("double").alias("label"), "weight", "features")
+            # Every iteration is one job: a small table is not worth many tasks. Never more than now.
+            .coalesce(-(-n_rows // ROWS_PER_TASK))
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         # Balanced weights sum to the row count, so both weightings share the same penalty.
         regression = LogisticRegression(
             family="multinomial", weightCol="weight", standardization=False, elasticNetParam=0.0,
-            regParam=1.0 / (spec.c * n_rows), maxIter=spec.max_iter, tol=1e-6,
+            regParam=1.0 / (spec.c * n_rows), maxIter=spec.max_iter, tol=1e-5,
         ).fit(features)
     finally:
         if features is not None:
