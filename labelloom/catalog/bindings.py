@@ -12,7 +12,7 @@ from labelloom.config import LABELS, MappingSpec
 from labelloom.functions.text import WHITESPACE
 from labelloom.operators.mapping import annotate_labels
 from labelloom.plans.prepare import prepared_table
-from labelloom.session import ensure_checkpoint_dir
+from labelloom.session import ensure_checkpoint_dir, widened
 
 # Source labels src0..src19 of the documents stand in for the annotators' labels.
 DOCUMENT_MAPPING = MappingSpec.build(
@@ -34,6 +34,11 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def read_text(spark: SparkSession, sf: str, table: str, *columns: str) -> DataFrame:
+    """The named columns of a text table, spread over the cores for CPU-heavy steps."""
+    return widened(read(spark, sf, table).select(*columns))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder next to the checkpoints, which every executor can reach."""
     ensure_checkpoint_dir(spark)

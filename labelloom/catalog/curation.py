@@ -127,7 +127,7 @@ def multi_label_rows(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id, len(string_split({b.sql_normal('text')}, ' ')) AS words FROM documents
 WHERE {b.sql_normal('text')} <> '' AND len(string_split({b.sql_normal('text')}, ' ')) >= 5""")
 def minimum_word_filter(spark: SparkSession, sf: str) -> DataFrame:
-    base = curate.normalized(b.read(spark, sf, "documents").select("doc_id", "text"))
+    base = curate.normalized(b.read_text(spark, sf, "documents", "doc_id", "text"))
     kept = rows.long_enough(base, QualitySpec().min_words)
     return kept.select("doc_id", t.word_count(F.col("normalized_text")).alias("words"))
 
@@ -394,7 +394,7 @@ WITH w AS (SELECT list_filter(string_split({b.sql_normal('text')}, ' '), lambda
 SELECT count(*) AS rows, (SELECT count(DISTINCT word) FROM (SELECT unnest(words) AS word FROM w)) AS vocabulary_size,
        round_even(sum(len(words)) / greatest(count(*), 1), 2) AS average_words_per_example FROM w""")
 def text_diversity(spark: SparkSession, sf: str) -> DataFrame:
-    return distribution.text_diversity(b.read(spark, sf, "documents"))
+    return distribution.text_diversity(b.read_text(spark, sf, "documents", "text"))
 
 
 # --- examples, ranks, shuffles -------------------------------------------------------------------
@@ -579,17 +579,17 @@ def unescape_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("clean_pages", f"SELECT page_id, {b.sql_clean('html')} AS html FROM pages")
 def clean_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return rows.clean_table(b.read(spark, sf, "pages").select("page_id", "html"), "html")
+    return rows.clean_table(b.read_text(spark, sf, "pages", "page_id", "html"), "html")
 
 
 @query("clean_documents", f"SELECT doc_id, text, {b.sql_clean('text')} AS cleaned FROM documents WHERE {b.sql_clean('text')} <> ''")
 def clean_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return rows.clean_table(b.read(spark, sf, "documents").select("doc_id", "text"), "text", "cleaned", drop_empty=True)
+    return rows.clean_table(b.read_text(spark, sf, "documents", "doc_id", "text"), "text", "cleaned", drop_empty=True)
 
 
 @query("clean_options", f"SELECT page_id, {b.sql_clean('html', False, False, False, False)} AS html FROM pages")
 def clean_options(spark: SparkSession, sf: str) -> DataFrame:
-    pages = b.read(spark, sf, "pages").select("page_id", "html")
+    pages = b.read_text(spark, sf, "pages", "page_id", "html")
     return rows.clean_table(pages, "html", lowercase=False, drop_urls=False, drop_mentions=False, keep_hashtag_word=False)
 
 

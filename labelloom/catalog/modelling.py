@@ -280,7 +280,7 @@ tfidf AS (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_
 
 
 def _terms(spark: SparkSession, sf: str) -> DataFrame:
-    return features.with_terms(b.read(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    return features.with_terms(b.read_text(spark, sf, "documents", "doc_id", "text")).drop("text")
 
 
 def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,7 +290,7 @@ def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tokens", f"WITH {_TERMS} SELECT doc_id, array_to_string(w, ' ') AS tokens FROM words")
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
-    only = features.with_terms(b.read(spark, sf, "documents").select("doc_id", "text"), ngram_range=(1, 1))
+    only = features.with_terms(b.read_text(spark, sf, "documents", "doc_id", "text"), ngram_range=(1, 1))
     return only.select("doc_id", F.array_join("terms", " ").alias("tokens"))
 
 

@@ -28,6 +28,8 @@ MENTION = rf"@[{_WORD}]+"
 HASHTAG = rf"#([{_WORD}]+)"
 DISALLOWED = rf"[^a-z0-9{_SPACE}!?']"
 SPACES = rf"[{_SPACE}]+"
+NOT_KEPT = r"[^a-z0-9!?']+"
+NOTHING = r"\A(?!)"
 WORDS = r"([a-zA-Z']+)"
 
 # --- building blocks -----------------------------------------------------------------------------
@@ -105,18 +107,27 @@ def clean(
 
     With ``lowercase=False`` the keep-set is still lowercase-only, so capitals are deleted.
     """
-    steps = [null_to_empty, unescape_entities, strip]
-    if lowercase:
-        steps.append(F.lower)
-    steps += [remove_tags, remove_emails]
+    base = unescape_entities(null_to_empty(c))
+    seen = F.lower(base) if lowercase else base
+    text = F.lower(strip(base)) if lowercase else strip(base)
+
+    def when_present(text: Column, marks: tuple[str, ...], pattern: str, to: str = " ") -> Column:
+        """Replace only where a mark occurs at all; other texts meet a pattern that ends at once."""
+        where = base if len(marks) == 1 else seen
+        present = F.contains(where, F.lit(marks[0]))
+        for mark in marks[1:]:
+            present = present | F.contains(where, F.lit(mark))
+        return F.regexp_replace(text, F.when(present, F.lit(pattern)).otherwise(F.lit(NOTHING)), F.lit(to))
+
+    text = when_present(text, ("<",), TAG)
+    text = when_present(text, ("@",), EMAIL)
     if drop_urls:
-        steps.append(remove_urls)
+        text = when_present(text, ("://", "www."), URL)
     if drop_mentions:
-        steps.append(remove_mentions)
-    steps += [unwrap_hashtags if keep_hashtag_word else remove_hashtags, keep_plain_characters, squeeze]
-    for step in steps:
-        c = step(c)
-    return c
+        text = when_present(text, ("@",), MENTION)
+    text = when_present(text, ("#",), HASHTAG, " $1 " if keep_hashtag_word else " ")
+    # Dropping disallowed characters and squeezing spaces is one replacement: spaces are not kept either.
+    return F.btrim(F.regexp_replace(text, NOT_KEPT, " "))
 
 
 def normal_form(c: Column) -> Column:

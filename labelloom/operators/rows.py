@@ -45,8 +45,15 @@ def clean_table(
     """Clean a text column in place or into ``output``; unusable texts become empty."""
     require_columns(df, [text])
     target = output or text
-    cleaned = df.withColumn(target, t.clean(F.col(text), **options))
-    return cleaned.where(F.col(target) != "") if drop_empty else cleaned
+    value = t.clean(F.col(text), **options)
+    if not drop_empty:
+        return df.withColumn(target, value)
+    # A filter on the new column would be pushed below it and clean every text twice. Unnesting an
+    # array of at most one value cleans once.
+    columns = df.columns if target in df.columns else [*df.columns, target]
+    one = F.filter(F.array(F.struct(value.alias("_cleaned"))), lambda e: e["_cleaned"] != "")
+    unnested = df.select("*", F.inline(one))
+    return unnested.drop(*([target] if target in df.columns else [])).withColumnRenamed("_cleaned", target).select(*columns)
 
 
 def correct_rows(predictions: DataFrame) -> DataFrame:

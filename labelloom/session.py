@@ -55,3 +55,12 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
 def small_window() -> WindowSpec:
     """One window over everything, for label-sized or otherwise bounded results only."""
     return Window.partitionBy(F.lit(0))
+
+
+def widened(scan: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer input splits than cores, as one small file has.
+
+    Text cleaning costs far more than moving such a file. A scan with enough splits is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
