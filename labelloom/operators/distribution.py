@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from labelloom.config import DOMINANT_PERCENT, LABELS, MAX_SOURCES_PER_TARGET
 from labelloom.functions.numeric import percent, round_even
@@ -177,7 +176,3 @@ def counts_as_map(counts: DataFrame, key: str = "label") -> DataFrame:
     """Label-sized (key, count) folded to one row with a map."""
     entries = F.sort_array(F.collect_list(F.struct(key, "count")))
     return counts.agg(F.map_from_entries(entries).alias(f"{key}_counts"))
-
-
-def empty_warnings(spark) -> DataFrame:
-    return spark.createDataFrame([], T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("warning", T.StringType())]))
