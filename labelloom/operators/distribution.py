@@ -11,6 +11,10 @@ from labelloom.config import DOMINANT_PERCENT, LABELS, MAX_SOURCES_PER_TARGET
 from labelloom.functions.numeric import percent, round_even
 from labelloom.functions.text import normal_form, word_array
 from labelloom.session import bounded, label_table, small_table, small_window
+# Report texts that readers of the warnings file expect word for word.
+IMBALANCE = "Class imbalance warning: '%s' represents %.2f%% of the final dataset."
+BREADTH = "Mapping breadth warning: '%s' contains %s source labels (%s)."
+
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("count"))
@@ -130,9 +134,7 @@ def distribution_warnings(distribution: DataFrame, sources_by_target: Mapping[st
     spark = distribution.sparkSession
     dominant = dominant_class(distribution).where(F.col("percentage") >= DOMINANT_PERCENT).select(
         F.lit(0).alias("pos"),
-        F.format_string(
-            "Class imbalance warning: '%s' represents %.2f%% of the final dataset.", "label", "percentage"
-        ).alias("warning"),
+        F.format_string(IMBALANCE, "label", "percentage").alias("warning"),
     )
     broad = small_table(
         spark,
@@ -144,9 +146,7 @@ def distribution_warnings(distribution: DataFrame, sources_by_target: Mapping[st
     ).where(F.col("n").cast("int") > MAX_SOURCES_PER_TARGET)
     numbered = broad.select(
         F.row_number().over(small_window().orderBy("target")).alias("pos"),
-        F.format_string(
-            "Mapping breadth warning: '%s' contains %s source labels (%s).", "target", "n", "sources"
-        ).alias("warning"),
+        F.format_string(BREADTH, "target", "n", "sources").alias("warning"),
     )
     return dominant.unionByName(numbered)
 

@@ -11,6 +11,7 @@ from pyspark.sql import window as W
 from labelloom.functions.numeric import argmax_label, ranked_labels, softmax
 from labelloom.operators.features import weighted_terms
 
+# Fixed value: shown instead of an empty explanation.
 NO_FEATURES = "  No strong positive feature contributions were found."
 
 

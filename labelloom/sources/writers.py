@@ -23,7 +23,11 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def report_lines(examples: DataFrame, labels: Sequence[str], empty_note: str | None = "  (no examples available)") -> DataFrame:
+# Fixed value: stands under a label without rows.
+NO_EXAMPLES = "  (no examples available)"
+
+
+def report_lines(examples: DataFrame, labels: Sequence[str], empty_note: str | None = NO_EXAMPLES) -> DataFrame:
     """Readable block per label from (label, pos, text); one row (pos, block) per label in order."""
     dim = label_table(examples.sparkSession, labels)
     numbered = examples.groupBy("label").agg(
