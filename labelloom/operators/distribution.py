@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from labelloom.config import DOMINANT_PERCENT, LABELS, MAX_SOURCES_PER_TARGET
 from labelloom.functions.numeric import percent, round_even
 from labelloom.functions.text import normal_form, word_array
-from labelloom.session import bounded, label_table, small_table, small_window
+from labelloom.session import bounded, label_table, side_by_side, small_table, small_window
 # Report texts that readers of the warnings file expect word for word.
 IMBALANCE = "Class imbalance warning: '%s' represents %.2f%% of the final dataset."
 BREADTH = "Mapping breadth warning: '%s' contains %s source labels (%s)."
@@ -161,14 +161,9 @@ def text_diversity(df: DataFrame, text: str = "text") -> DataFrame:
     vocabulary = words.select(F.explode(F.array_distinct("words")).alias("word")).distinct().agg(
         F.count("*").alias("vocabulary_size")
     )
-    one = F.lit(1)
-    return (
-        totals.withColumn("_one", one)
-        .join(vocabulary.withColumn("_one", one), "_one")
-        .select(
-            "rows", "vocabulary_size",
-            round_even(F.col("word_rows") / F.greatest("rows", F.lit(1)), 2).alias("average_words_per_example"),
-        )
+    return side_by_side(totals, vocabulary).select(
+        "rows", "vocabulary_size",
+        round_even(F.col("word_rows") / F.greatest("rows", F.lit(1)), 2).alias("average_words_per_example"),
     )
 
 

@@ -69,13 +69,8 @@ def vocabulary(statistics: DataFrame, min_df: int = 2, max_features: int = 5000)
 
 def with_idf(vocab: DataFrame, rows: DataFrame) -> DataFrame:
     """Adds the smooth idf ln((1 + n) / (1 + df)) + 1; n is the row count of the training table."""
-    n = rows.agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1))
-    return (
-        vocab.withColumn("_one", F.lit(1))
-        .join(n, "_one")
-        .withColumn("idf", F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1)
-        .drop("_one", "_n")
-    )
+    n = rows.agg(F.count("*")).scalar()
+    return vocab.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
 
 
 def weighted_terms(

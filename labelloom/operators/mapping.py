@@ -10,6 +10,7 @@ from labelloom.config import MappingSpec
 from labelloom.functions.numeric import round_even
 from labelloom.functions.text import fold_label
 from labelloom.operators.checks import mapping_table
+from labelloom.session import side_by_side
 
 
 def annotate_labels(df: DataFrame, spec: MappingSpec, label: str = "label") -> DataFrame:
@@ -109,13 +110,7 @@ def mapping_audit(counts: DataFrame, spec: MappingSpec, warnings: DataFrame | No
     listed = warnings.agg(F.sort_array(F.collect_list(F.struct("pos", "warning"))).alias("w")).select(
         F.transform("w", lambda e: e["warning"]).alias("warnings")
     )
-    # Two one-row tables side by side.
-    one = F.lit(1)
-    return (
-        audit.withColumn("_one", one)
-        .join(listed.withColumn("_one", one), "_one")
-        .drop("_one")
-    )
+    return side_by_side(audit, listed)
 
 
 def encode_labels(df: DataFrame, dictionary: DataFrame, label: str = "label") -> DataFrame:

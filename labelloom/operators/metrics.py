@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions.numeric import ratio_or_zero, round_even
-from labelloom.session import label_table, small_table, small_window
+from labelloom.session import label_table, side_by_side, small_table, small_window
 
 _SCORES = "struct<precision:double,recall:double,`f1-score`:double,support:bigint>"
 _HEADLINE = "accuracy double, macro_precision double, macro_recall double, macro_f1 double, weighted_f1 double"
@@ -67,14 +67,14 @@ def summary(pairs: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
     With ``labels`` the macro averages run over that list; without, over the labels observed.
     """
     hits = F.sum(F.when(F.col("true_label") == F.col("predicted_label"), F.col("n")).otherwise(0))
-    overall = pairs.agg((hits / F.sum("n")).alias("accuracy")).withColumn("_one", F.lit(1))
+    overall = pairs.agg((hits / F.sum("n")).alias("accuracy"))
     averages = per_class(pairs, labels).agg(
         F.avg("precision").alias("macro_precision"),
         F.avg("recall").alias("macro_recall"),
         F.avg("f1").alias("macro_f1"),
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("weighted_f1"),
     )
-    return overall.join(averages.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return side_by_side(overall, averages)
 
 
 def report_table(pairs: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
@@ -111,11 +111,7 @@ def nested_report(pairs: DataFrame, labels: Sequence[str] | None = None) -> Data
             "classification_report"
         )
     )
-    return (
-        summary(pairs, labels).withColumn("_one", F.lit(1))
-        .join(classes.withColumn("_one", F.lit(1)), "_one")
-        .drop("_one")
-    )
+    return side_by_side(summary(pairs, labels), classes)
 
 
 def confusion_grid(pairs: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:

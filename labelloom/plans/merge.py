@@ -14,6 +14,7 @@ from labelloom.operators.dedup import duplicate_stats, keep_first
 from labelloom.operators.distribution import merge_distributions
 from labelloom.operators.ranking import seeded_shuffle
 from labelloom.operators.rows import drop_invalid_rows, with_source
+from labelloom.session import side_by_side
 from labelloom.sources.writers import write_report, write_table
 
 KEYS = ("text", "label")
@@ -41,17 +42,16 @@ def merged_table(both: DataFrame, order: str = "ord") -> DataFrame:
 
 def merge_summary(both: DataFrame, merged: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
     """One row: total_rows, duplicate_rows_removed, label_counts, data_source_counts."""
-    one = F.lit(1)
     stats = duplicate_stats(both, KEYS).select(
         F.col("after").alias("total_rows"), F.col("removed").alias("duplicate_rows_removed")
-    ).withColumn("_one", one)
+    )
     counts = merge_distributions(merged, labels)
 
     def folded(report: str, key: str) -> DataFrame:
         pairs = F.sort_array(F.collect_list(F.struct(key, "count")))
-        return counts.where(F.col("report") == report).agg(F.map_from_entries(pairs).alias(f"{key}_counts")).withColumn("_one", one)
+        return counts.where(F.col("report") == report).agg(F.map_from_entries(pairs).alias(f"{key}_counts"))
 
-    return stats.join(folded("label", "label"), "_one").join(folded("data_source", "data_source"), "_one").drop("_one")
+    return side_by_side(stats, folded("label", "label"), folded("data_source", "data_source"))
 
 
 def merge_datasets(

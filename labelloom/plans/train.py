@@ -17,6 +17,7 @@ from labelloom.operators.split import assign_split, check_split
 from labelloom.plans.analysis import write_error_analysis
 from labelloom.plans.merge import merge_datasets
 from labelloom.plans.prepare import load_labelled
+from labelloom.session import side_by_side
 from labelloom.sources.readers import read_report
 from labelloom.sources.writers import write_report, write_table
 
@@ -42,13 +43,10 @@ class TrainingResult:
 
     def report(self) -> DataFrame:
         """One nested row: test metrics, with the validation metrics in ``validation``."""
-        one = F.lit(1)
-
         def nested(name: str) -> DataFrame:
             return metrics.nested_report(metrics.pair_counts(self.part(name)), self.classifier.labels)
 
-        validation = nested("validation").select(F.struct("*").alias("validation")).withColumn("_one", one)
-        return nested("test").withColumn("_one", one).join(validation, "_one").drop("_one")
+        return side_by_side(nested("test"), nested("validation").select(F.struct("*").alias("validation")))
 
 
 def train_and_evaluate(
@@ -113,7 +111,7 @@ def comparison_report(before: DataFrame | None, after: DataFrame, labels: Sequen
     if before is None:
         return after_part.select("after", F.lit(True).alias("before_metrics_missing"))
     before_part = before.select(F.struct(*names).alias("before"), F.col("classification_report").alias("_old"))
-    both = before_part.withColumn("_one", F.lit(1)).join(after_part.withColumn("_one", F.lit(1)), "_one")
+    both = side_by_side(before_part, after_part)
     f1 = lambda side, label: F.coalesce(F.try_element_at(side, F.lit(label))["f1-score"], F.lit(0.0))
     deltas = [v for label in labels for v in (F.lit(label), F.bround(f1(F.col("_new"), label) - f1(F.col("_old"), label), 4))]
     return both.select("before", "after", F.create_map(*deltas).alias("per_class_f1_delta"))

@@ -52,6 +52,14 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= MAX_HINTED_ROWS else df
 
 
+def side_by_side(*tables: DataFrame) -> DataFrame:
+    """One-row tables with different columns as one row, by union and aggregate instead of a join."""
+    tall = tables[0]
+    for table in tables[1:]:
+        tall = tall.unionByName(table, allowMissingColumns=True)
+    return tall.agg(*[F.first(c, ignorenulls=True).alias(c) for c in tall.columns])
+
+
 def small_window() -> WindowSpec:
     """One window over everything, for label-sized or otherwise bounded results only."""
     return Window.partitionBy(F.lit(0))
