@@ -103,37 +103,55 @@ def twice_seen(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.nd
     return df.sparkSession.sparkContext.broadcast(bits)
 
 
-def frequencies(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log2_slots: int) -> Broadcast:
-    """A broadcast table of 2 ** log2_slots counters: an upper estimate of how often each key occurs.
+def summed(df: DataFrame, accumulate: Callable[[Iterator[pa.RecordBatch]], np.ndarray], length: int) -> np.ndarray:
+    """The sum over all tasks of an int64 array of fixed ``length``, built by ``accumulate`` and merged by shard.
 
-    Keys share counters, so it never says too little. Built and merged by shard like the filters; fixed size.
+    The driver sees one array of that length, however large the input is.
     """
-    slots = 1 << log2_slots
-    shard = min(slots, 1 << 15)
+    shard = min(length, 1 << 15)
+
+    def packed(k: int, part: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([k], pa.int32()), pa.array([pa.compress(part.tobytes(), "zstd", asbytes=True)], pa.binary()), pa.array([len(part)], pa.int32())], names=["shard", "part", "size"])
+
+    def unpacked(data: bytes, size: int) -> np.ndarray:
+        return np.frombuffer(pa.decompress(bytes(data), size * 8, "zstd", asbytes=True), np.int64)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(slots, np.int64)
-        for batch in batches:
-            for keys in keys_of(batch):
-                counts += np.bincount((keys >> np.uint64(64 - log2_slots)).astype(np.int64), minlength=slots)
-        for k in range(slots // shard):
-            part = counts[k * shard : (k + 1) * shard]
-            if part.any():
-                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([pa.compress(part.tobytes(), "zstd", asbytes=True)], pa.binary())], names=["shard", "counts"])
+        total = accumulate(batches)
+        for k, at in enumerate(range(0, length, shard)):
+            if total[at : at + shard].any():
+                yield packed(k, total[at : at + shard])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                part = np.frombuffer(pa.decompress(packed, shard * 8, "zstd", asbytes=True), np.int64)
+            for k, data, size in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                part = unpacked(data, size)
                 kept[k] = kept[k] + part if k in kept else part
         for k, part in kept.items():
-            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([pa.compress(part.tobytes(), "zstd", asbytes=True)], pa.binary())], names=["shard", "counts"])
+            yield packed(k, part)
+
+    ddl = "shard int, part binary, size int"
+    total = np.zeros(length, np.int64)
+    for k, data, size in df.mapInArrow(build, ddl).repartition(min(-(-length // shard), 32), "shard").mapInArrow(merge, ddl).collect():
+        total[k * shard : k * shard + size] = unpacked(data, size)
+    return total
+
+
+def frequencies(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log2_slots: int) -> Broadcast:
+    """A broadcast table of 2 ** log2_slots counters: an upper estimate of how often each key occurs.
+
+    Keys share counters, so it never says too little.
+    """
+
+    def accumulate(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        counts = np.zeros(1 << log2_slots, np.int64)
+        for batch in batches:
+            for keys in keys_of(batch):
+                np.add.at(counts, (keys >> np.uint64(64 - log2_slots)).astype(np.int64), 1)
+        return counts
 
-    ddl = "shard int, counts binary"
-    total = np.zeros(slots, np.int64)
-    for k, packed in df.mapInArrow(build, ddl).repartition(min(slots // shard, 32), "shard").mapInArrow(merge, ddl).collect():
-        total[k * shard : (k + 1) * shard] = np.frombuffer(pa.decompress(bytes(packed), shard * 8, "zstd", asbytes=True), np.int64)
+    total = summed(df, accumulate, 1 << log2_slots)
     return df.sparkSession.sparkContext.broadcast(np.minimum(total, 2**31 - 1).astype(np.int32))
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import jaccard, linededup
+from labelloom.llm import chunks, jaccard, linededup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,3 +51,23 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL twin: a join on shared shingles in SQL emits all pairs inside the groups of copies."""
     docs = table(spark, sf_dir, "documents")
     return jaccard.similar_classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: chunk cuts come from a rolling hash over bytes."""
+    return chunks.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def remainder(key: str) -> Column:
+    """crc32 of the id as text, modulo 3: remainder 1 is held out of training."""
+    return F.crc32(F.col(key).cast("string")) % 3
+
+
+@query()
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: a trained model; tests hold it against held-out labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id") != 1)
+    held_out = F.coalesce(remainder("doc_id") == 1, F.lit(False)).alias("held_out")
+    return quality.score_quality(docs, labels).select("doc_id", held_out, "score", "predicted")

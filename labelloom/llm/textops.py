@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 PIECE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+OTHER_BASE = 0xC2B2AE3D27D4EB4F | 1
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -72,14 +72,14 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for every span, by prefix sums of a polynomial."""
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """A 64-bit hash of values[start:end] for every span, by prefix sums of a polynomial in an odd ``base``."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    terms = (values.astype(np.uint64) + np.uint64(1)) * _power("up", _BASE, len(values))
+    terms = (values.astype(np.uint64) + np.uint64(1)) * _power(f"up{base}", base, len(values))
     total = np.cumsum(terms, dtype=np.uint64)
     raw = total[ends - 1] - total[starts] + terms[starts]
-    down = _power("down", _BASE_INVERSE, len(values))
+    down = _power(f"down{base}", pow(base, -1, 1 << 64), len(values))
     return mixed(raw * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -87,20 +87,25 @@ def words(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, table: np.nda
     """Words of the rows lo..hi: (row from 0, start, end, hash), in text order. Start and end count bytes of the piece."""
     base = offsets[lo]
     mapped = table[data[base : offsets[hi]]]
-    rel = offsets[lo : hi + 1] - base
-    inside = mapped != 0
+    row, starts, ends = runs((mapped != 0).view(np.uint8), offsets[lo : hi + 1] - base)
+    return row, starts, ends, span_hashes(mapped, starts, ends)
+
+
+def runs(kinds: np.ndarray, rel: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the longest stretches of one kind, kind 0 left out; ``rel`` holds the rows' offsets."""
+    inside = kinds != 0
     first, last = inside.copy(), inside.copy()
     if len(inside):
-        first[1:] &= ~inside[:-1]
-        last[:-1] &= ~inside[1:]
+        change = kinds[1:] != kinds[:-1]
+        first[1:] &= change
+        last[:-1] &= change
         edges = rel[1:-1]
         begin = edges[edges < len(inside)]
         first[begin] |= inside[begin]
         before = edges[edges > 0] - 1
         last[before] |= inside[before]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    row = np.searchsorted(rel, starts, side="right") - 1
-    return row, starts, ends, span_hashes(mapped, starts, ends)
+    return np.searchsorted(rel, starts, side="right") - 1, starts, ends
 
 
 def shingles(row: np.ndarray, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
