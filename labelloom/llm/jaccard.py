@@ -1,7 +1,7 @@
 """Exact Jaccard join of word shingle sets by adaptive multi-match prefixes, as connected classes.
 
-1. A set can only have a partner if enough tokens of its prefix occur elsewhere; a twice-seen Bloom filter over
-   prefix tokens leaves the few documents for which that may hold. Only their sets are shuffled.
+1. A set can only have a partner if it has enough tokens that occur elsewhere; a twice-seen Bloom filter leaves
+   the few documents for which that may hold. Only their sets are shuffled.
 2. Equal sets become one node. Tokens of a node are ordered from rare to frequent by a counting sketch. Each
    node lengthens its prefix from the sketch's estimate of its candidates: with l - 1 more tokens, a partner has
    to share l tokens of the prefix before it is verified.
@@ -24,9 +24,8 @@ from labelloom.llm import bloom, textops
 from labelloom.llm.components import components
 from labelloom.session import ensure_checkpoint_dir
 
-FILTER_BITS = 27
+FILTER_BITS = 28  # 32 MB to broadcast, at any input size
 SKETCH_SLOTS = 20
-SIEVE_MATCHES = 8  # the sieve asks for so many shared tokens of a prefix that is longer by one less
 EXTENSIONS = (1, 2, 4, 8, 16, 32)
 SHORT_LIST = 24  # posting lists up to this length send pairs; longer ones are verified in blocks
 BLOCK_ROWS = 1024
@@ -55,40 +54,22 @@ def text_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarra
         yield lo, hi, *textops.shingles(row, hashes, size)
 
 
-def _sieve_key(keys: np.ndarray) -> np.ndarray:
-    # Prefixes hold the smallest hashes; mix again so that filter positions are even.
-    return textops.mixed(keys ^ np.uint64(0x5851F42D4C957F2D))
-
-
-def _prefix(rows: np.ndarray, n_rows: int, num: int, den: int):
-    """Per shingle its place in its set; per row the set size, the plain prefix and the sieve's number of matches."""
-    n = np.bincount(rows, minlength=n_rows)
-    heads = np.cumsum(n) - n
-    place = np.arange(len(rows)) - heads[rows]
-    need = _need(n, num, den)
-    return place, n, heads, n - need + 1, np.minimum(SIEVE_MATCHES, need)
-
-
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, filter_bits: int) -> DataFrame:
     """(id, n, d, tokens): set size, digest of the set, and the sorted set itself where it may have a partner."""
 
-    def prefix_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for lo, hi, rows, keys in text_sets(batch.column("t"), size):
-            place, _, _, plain, matches = _prefix(rows, hi - lo, num, den)
-            yield _sieve_key(keys[place < (plain + matches - 1)[rows]])
+    def all_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, _, keys in text_sets(batch.column("t"), size):
+            yield keys
 
-    twice = bloom.twice_seen(docs.select(F.col(text_col).alias("t")), prefix_keys, filter_bits)
+    twice = bloom.twice_seen(docs.select(F.col(text_col).alias("t")), all_keys, filter_bits)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, rows, keys in text_sets(batch.column("t"), size):
-                place, n, heads, plain, matches = _prefix(rows, hi - lo, num, den)
-                seen = np.zeros(len(keys), bool)
-                near = place < (plain + matches - 1)[rows]
-                seen[near] = bloom.contains(twice.value, _sieve_key(keys[near]))
-                one = np.bincount(rows[seen & (place < plain[rows])], minlength=hi - lo)
-                many = np.bincount(rows[seen], minlength=hi - lo)
-                stays = (one >= 1) & (many >= matches) & (n > 0)
+                n = np.bincount(rows, minlength=hi - lo)
+                heads = np.cumsum(n) - n
+                seen = np.bincount(rows[bloom.contains(twice.value, keys)], minlength=hi - lo)
+                stays = (seen >= _need(n, num, den)) & (n > 0)
                 own = [keys[h : h + m].tobytes() for h, m in zip(heads, n, strict=True)]
                 yield pa.record_batch(
                     [

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm import bloom, textops
 
-SHAPES, HASHES = 6, 1024
+SHAPES, HASHES = 7, 1024
 SLOTS = SHAPES * HASHES
 DIMS = 48
 NONZERO = 2
@@ -39,7 +39,10 @@ _KINDS = _kinds()
 
 
 def word_slots(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(lo, hi, row, slot) of the words of each piece: runs of letters, of digits, or of one sign."""
+    """(lo, hi, row, slot) of the words of each piece: runs of letters, of digits, or of one sign.
+
+    Shapes: lower case, title, upper case, mixed, digits, sign, and letters that repeat one of the two words before.
+    """
     data, offsets = textops.text_bytes(column)
     for lo, hi in textops.pieces(offsets):
         part = data[offsets[lo] : offsets[hi]]
@@ -50,7 +53,10 @@ def word_slots(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
         up, low, kind = upper[end] - upper[start], lower[end] - lower[start], kinds[start] if len(start) else np.zeros(0, np.uint8)
         title = (up == 1) & (part[start] <= 90 if len(start) else False)
         shape = np.select([kind > 2, kind == 2, up == 0, title, low == 0], [5, 4, 0, 1, 2], 3)
-        yield lo, hi, row, shape * HASHES + (textops.span_hashes(part, start, end) % np.uint64(HASHES)).astype(np.int64)
+        key = textops.span_hashes(part, start, end)
+        for gap in (1, 2):
+            shape[gap:][(kind[gap:] == 1) & (key[gap:] == key[:-gap]) & (row[gap:] == row[:-gap])] = 6
+        yield lo, hi, row, shape * HASHES + (key % np.uint64(HASHES)).astype(np.int64)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +127,7 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(x.astype(np.float64)) / self.temperature, -50, 50)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.02, decay: float = 1e-4) -> Network:
+def fit(x: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 0.02, decay: float = 1e-3) -> Network:
     """Full-batch Adam on four fifths of the rows (weighted to even classes halfway), the temperature on the others."""
     mean, scale = (x.mean(0), x.std(0) + 1e-4) if len(x) else (0.0, 1.0)
     if len(x) < 10 or y.min() == y.max():
