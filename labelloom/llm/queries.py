@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chunks, jaccard, linededup, quality
+from labelloom.llm import chunks, html, jaccard, licenses, linededup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,3 +71,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id") != 1)
     held_out = F.coalesce(remainder("doc_id") == 1, F.lit(False)).alias("held_out")
     return quality.score_quality(docs, labels).select("doc_id", held_out, "score", "predicted")
+
+
+@query()
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: labels and scores come from the automaton's chains."""
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: pages are parsed."""
+    return html.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
