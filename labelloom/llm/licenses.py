@@ -128,8 +128,15 @@ class Scanner:
         ids = {vocabulary[k]: i for i, k in enumerate(order)}
         self.automaton = Automaton()
         self.automaton.add([[ids[w] for w in ws] for _, ws, _ in every])
-        # Which phrases end in a state: the phrase's last word is one of the state's ends, at full length.
-        self.phrase_ends = [[t for t, at in ends if self.is_phrase[t] and at == self.sizes[t] - 1] for ends in self.automaton.ends]
+        # Which phrases end where a state ends: those that end in the state or, as shorter suffixes, behind its links.
+        own = [[t for t, at in ends if self.is_phrase[t] and at == self.sizes[t] - 1] for ends in self.automaton.ends]
+        self.phrase_ends = []
+        for state in range(len(own)):
+            found: set[int] = set()
+            while state > 0:
+                found.update(own[state])
+                state = self.automaton.link[state]
+            self.phrase_ends.append(sorted(found))
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
