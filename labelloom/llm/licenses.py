@@ -134,7 +134,7 @@ class Scanner:
         for state in range(len(own)):
             found: set[int] = set()
             while state > 0:
-                found.update(own[state])
+                found.update(t for t in own[state] if self.automaton.length[state] >= self.sizes[t])
                 state = self.automaton.link[state]
             self.phrase_ends.append(sorted(found))
 
