@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chunks, html, jaccard, licenses, linededup, quality
+from labelloom.llm import chunks, decontaminate, html, jaccard, licenses, linededup, mixing, quality, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,3 +83,57 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL twin: pages are parsed."""
     return html.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised().alias("v"))
+    return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("""
+WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+w AS (SELECT source, n, greatest(1, round_even(240 * pow(n, 0.5) / (SELECT sum(pow(n, 0.5)) FROM c), 0))::INTEGER AS share,
+             (row_number() OVER (ORDER BY source NULLS FIRST) - 1)::INTEGER AS k FROM c),
+z AS (SELECT list(share ORDER BY k) AS shares, list(n ORDER BY k) AS sizes, sum(share)::INTEGER AS len FROM w),
+p AS (
+  SELECT -1 AS slot, -1 AS k, list_transform(shares, lambda x: 0) AS done, list_transform(shares, lambda x: 0) AS prior FROM z
+  UNION ALL
+  SELECT slot + 1, pick, list_transform(done, lambda x, i: CASE WHEN i = pick + 1 THEN x + 1 ELSE x END), done
+  FROM (SELECT p.slot, p.done, z.len,
+               list_min(list_filter(list_transform(p.done, lambda x, i:
+                 CASE WHEN x < z.shares[i] AND (x * z.len) // z.shares[i] <= p.slot + 1
+                      THEN (((x + 1) * z.len + z.shares[i] - 1) // z.shares[i]) * 100000 + i - 1 END), lambda y: y IS NOT NULL)) % 100000 AS pick
+        FROM p, z) WHERE slot + 1 < len),
+t AS (SELECT slot, k, prior[k + 1] AS nth, prior FROM p WHERE slot >= 0),
+i AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source
+             ORDER BY md5('0:' || coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST) - 1 AS i FROM documents),
+b AS (SELECT i.doc_id, i.source, i.i, i.i // 16 AS block, w.k, (i.i // 16) // w.share AS r, (i.i // 16) % w.share AS nth
+      FROM i JOIN w ON i.source IS NOT DISTINCT FROM w.source)
+SELECT doc_id, source, block::BIGINT AS block, (r * z.len + t.slot)::BIGINT AS slot,
+       (list_sum(list_transform(t.prior, lambda x, j: least(z.sizes[j], (r * z.shares[j] + x) * 16))) + b.i % 16)::BIGINT AS position
+FROM b JOIN t ON b.k = t.k AND b.nth = t.nth, z
+""")
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+@query()
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: urls without a rule are judged by trained trees."""
+    return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@query()
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are the hits: a document and a benchmark item that it holds. Tests compare with a brute-force scan."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs.select("doc_id", "text"), items)
