@@ -55,7 +55,7 @@ def text_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarra
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, filter_bits: int) -> DataFrame:
-    """(id, n, d, tokens): set size, digest of the set, and the sorted set itself where it may have a partner."""
+    """(id, h, n, d, tokens): hash of the text, set size, digest of the set, and the sorted set itself where it may have a partner."""
 
     def all_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, _, _, keys in text_sets(batch.column("t"), size):
@@ -74,53 +74,60 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den:
                 yield pa.record_batch(
                     [
                         batch.column("id").slice(lo, hi - lo),
+                        batch.column("h").slice(lo, hi - lo),
                         pa.array(n, pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(x) if x else None for x in own], pa.binary()),
                         pa.array([x if s else None for x, s in zip(own, stays, strict=True)], pa.binary()),
                     ],
-                    names=["id", "n", "d", "tokens"],
+                    names=["id", "h", "n", "d", "tokens"],
                 )
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    schema = source.selectExpr("id", "0L as n", "cast(null as binary) as d", "cast(null as binary) as tokens").schema
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
+    schema = source.selectExpr("id", "h", "0L as n", "cast(null as binary) as d", "cast(null as binary) as tokens").schema
     return source.mapInArrow(sets, schema)
 
 
 def _postings(nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """(token, d, n, place, matches, score) for the prefix tokens of every node; tokens go from rare to frequent."""
+    """(token, d, n, place, matches, score) for the prefix tokens that other nodes hold; tokens go from rare to frequent."""
 
     def all_tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for tokens in batch.column("tokens").to_pylist():
             yield textops.mixed(np.frombuffer(tokens, np.uint64))
 
     counts = bloom.frequencies(nodes.select("tokens"), all_tokens, SKETCH_SLOTS)
+    # Tokens that only one node holds come first in the order and need no posting.
+    common = bloom.twice_seen(nodes.select("tokens"), all_tokens, FILTER_BITS)
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for d, tokens in zip(batch.column("d").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
                 keys = np.frombuffer(tokens, np.uint64)
-                often = bloom.estimated(counts.value, textops.mixed(keys)).astype(np.int64)
-                order = np.lexsort((keys, often))
-                keys, often = keys[order], often[order]
-                n, need = len(keys), _need(len(keys), num, den)
-                work = np.cumsum(np.maximum(often - 1, 0))
+                n, need, code = len(keys), _need(len(keys), num, den), textops.mixed(keys)
+                held = bloom.contains(common.value, code)
+                if held.sum() < need:
+                    continue  # too few tokens that another node holds
+                often = np.where(held, bloom.estimated(counts.value, code).astype(np.int64), 1)
+                order = np.lexsort((keys, often, held))
+                keys, often, alone = keys[order], often[order], n - int(held.sum())
+                work = np.cumsum(often - 1)
                 choices = [m for m in EXTENSIONS if m <= need]
                 # At most work / m sets can share m tokens of the prefix: reading its lists plus verifying those.
                 cost = [work[n - need + m - 1] * (1 + VERIFY_COST / m) for m in choices]
                 m = choices[int(np.argmin(cost))]
-                size = n - need + m
-                score = int(work[n - need])
-                yield pa.record_batch(
-                    [
-                        pa.array(keys[:size].view(np.int64)),
-                        pa.array([d] * size, pa.binary()),
-                        pa.array(np.full(size, n, np.int32)),
-                        pa.array(np.arange(size, dtype=np.int32)),
-                        pa.array(np.full(size, m, np.int32)),
-                        pa.array(np.full(size, score, np.int64)),
-                    ],
-                    names=["token", "d", "n", "place", "matches", "score"],
-                )
+                place = np.arange(alone, n - need + m, dtype=np.int32)
+                size, score = len(place), int(work[n - need])
+                if size:
+                    yield pa.record_batch(
+                        [
+                            pa.array(keys[place].view(np.int64)),
+                            pa.array([d] * size, pa.binary()),
+                            pa.array(np.full(size, n, np.int32)),
+                            pa.array(place),
+                            pa.array(np.full(size, m, np.int32)),
+                            pa.array(np.full(size, score, np.int64)),
+                        ],
+                        names=["token", "d", "n", "place", "matches", "score"],
+                    )
 
     return nodes.select("d", "tokens").mapInArrow(postings, "token long, d binary, n int, place int, matches int, score long")
 
@@ -265,7 +272,7 @@ def _across(postings: DataFrame, nodes: DataFrame, classes: DataFrame, num: int,
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: tuple[int, int] = (80, 100), filter_bits: int = FILTER_BITS) -> DataFrame:
-    """One row per input row: (id_col, n_shingles, component_id, set_digest).
+    """One row per input row: (id_col, n_shingles, component_id, set_digest, text_hash).
 
     Texts are lower-cased (A-Z) and split at [\\x20\\x09-\\x0D]; the set holds distinct ``size``-word shingles, or all
     words as one shingle of a shorter text. Rows link when den * |x & y| >= num * |x | y| for threshold (num, den).
@@ -295,5 +302,30 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = nodes.select(F.col("d").alias("node"), "id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = named.groupBy("root").agg(F.min("id").alias("component_id"))
     named = named.join(lowest, "root").select(F.col("node").alias("d"), "component_id")
-    result = rows.select("id", "n", "d").join(named, "d", "left")
-    return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.col("d").alias("set_digest"))
+    result = rows.select("id", "h", "n", "d").join(named, "d", "left")
+    component = F.coalesce("component_id", "id").alias("component_id")
+    return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component, F.col("d").alias("set_digest"), F.col("h").alias("text_hash"))
+
+
+def without_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class of linked rows stays: the one with the smallest id, then text hash; null ids come last.
+
+    Rows with an empty set all stay. Of rows that repeat id and text one stays. Columns pass unchanged.
+    """
+    rows = similar_classes(docs, id_col, text_col).where(F.col("n_shingles") > 0).withColumnRenamed(id_col, "__id").checkpoint()
+    # Rows without a component id have neither an id nor a partner that has one; their equal sets are one class.
+    of = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("set_digest"))]
+    best = rows.groupBy(*[c.alias(f"c{i}") for i, c in enumerate(of)]).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("text_hash").alias("h"))).alias("one"))
+    best = best.where(F.col("n") > 1).select("c0", "c1", F.col("one.id").alias("id"), F.col("one.h").alias("h")).checkpoint()
+    member = rows.select("__id", F.col("text_hash").alias("__h"), *[c.alias(f"m{i}") for i, c in enumerate(of)])
+    grouped = member.join(best, F.col("m0").eqNullSafe(F.col("c0")) & F.col("m1").eqNullSafe(F.col("c1")))
+    copies = grouped.select("__id", "__h").distinct()
+    losers = copies.join(best.select("id", "h"), F.col("__id").eqNullSafe(F.col("id")) & (F.col("__h") == F.col("h")), "left_anti")
+    keyed = docs.withColumn("__own", F.xxhash64(text_col))
+    kept = keyed.join(losers, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__h")), "left_anti")
+    repeated = rows.groupBy("__id", F.col("text_hash").alias("__h")).count().where(F.col("count") > 1).select("__id", "__h").checkpoint()
+    if repeated.limit(1).count():
+        same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__h"))
+        once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, "__own"])
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
