@@ -24,11 +24,12 @@ from labelloom.llm import bloom, textops
 from labelloom.llm.components import components
 from labelloom.session import ensure_checkpoint_dir
 
-FILTER_BITS = 28  # 32 MB to broadcast, at any input size
+FILTER_BITS = 27  # of the sieve: 16 MB to broadcast, at any input size
+COMMON_BITS = 26  # of the filter over the sets that passed it
 SKETCH_SLOTS = 20
 EXTENSIONS = (1, 2, 4, 8, 16, 32)
 SHORT_LIST = 24  # posting lists up to this length send pairs; longer ones are verified in blocks
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
 CARRIED = 512  # sets up to this size travel with their postings in long lists
 VERIFY_COST = 4.0  # cost of a verification, in posting reads
 
@@ -96,7 +97,7 @@ def _postings(nodes: DataFrame, num: int, den: int) -> DataFrame:
 
     counts = bloom.frequencies(nodes.select("tokens"), all_tokens, SKETCH_SLOTS)
     # Tokens that only one node holds come first in the order and need no posting.
-    common = bloom.twice_seen(nodes.select("tokens"), all_tokens, FILTER_BITS)
+    common = bloom.twice_seen(nodes.select("tokens"), all_tokens, COMMON_BITS)
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
