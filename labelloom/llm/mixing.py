@@ -17,7 +17,7 @@ BLOCK_ROWS = 16
 ROUND_SLOTS = 240
 POWER = 0.5  # target weights are row counts to this power
 MAX_SOURCES = 2000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def target_slots(counts: DataFrame, slots: int = ROUND_SLOTS, power: float = POWER) -> DataFrame:
