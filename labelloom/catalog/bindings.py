@@ -90,12 +90,13 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def logits(spark: SparkSession, sf: str) -> DataFrame:
-    """(vec_id, label, logits): the first six embedding values as class logits."""
+    """(vec_id, label, logits): the largest of every sixth embedding value as the logit of each class."""
+    largest = lambda i: F.array_max(F.filter("embedding", lambda _, j: j % 6 == i))
     names = F.array(*[F.lit(v) for v in LABELS])
     return read(spark, sf, "embeddings").select(
         "vec_id",
         F.element_at(names, (F.col("label") % 6 + 1).cast("int")).alias("label"),
-        F.slice("embedding", 1, 6).cast("array<double>").alias("logits"),
+        F.transform(F.sequence(F.lit(0), F.lit(5)), largest).cast("array<double>").alias("logits"),
     )
 
 
@@ -107,6 +108,7 @@ def wide_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- the same in SQL -----------------------------------------------------------------------------
 
+SQL_CLASS_LOGITS = "list_transform(range(6), lambda i: list_max(list_filter(embedding, lambda x, j: (j - 1) % 6 = i))::DOUBLE)"
 _SQL_SPACES = WHITESPACE.replace("'", "''")
 _W = r"\p{L}\p{N}_"
 _S = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
@@ -196,7 +198,7 @@ predictions AS (
     FROM (SELECT *, md5('p:' || ord) AS h FROM prep)))"""
 SQL_LOGITS = f"""
 logits AS (
-  SELECT vec_id, ({_LIST})[label % 6 + 1] AS label, list_transform(embedding[1:6], lambda x: x::DOUBLE) AS logits
+  SELECT vec_id, ({_LIST})[label % 6 + 1] AS label, {SQL_CLASS_LOGITS} AS logits
   FROM embeddings)"""
 
 

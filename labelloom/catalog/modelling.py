@@ -202,7 +202,7 @@ def softmax_probabilities(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(zipped.select("vec_id", F.col("z.class").alias("class"), F.col("z.score").alias("score")))
 
 
-@query("argmax_labels", f"SELECT vec_id, ({b.SQL_LABEL_LIST})[list_position(embedding[1:6], list_max(embedding[1:6]))] AS predicted_label FROM embeddings")
+@query("argmax_labels", f"SELECT vec_id, ({b.SQL_LABEL_LIST})[list_position({b.SQL_CLASS_LOGITS}, list_max({b.SQL_CLASS_LOGITS}))] AS predicted_label FROM embeddings")
 def argmax_labels(spark: SparkSession, sf: str) -> DataFrame:
     return b.logits(spark, sf).select("vec_id", argmax_label(F.col("logits"), LABELS).alias("predicted_label"))
 

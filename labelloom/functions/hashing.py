@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def seeded_hash(seed: int | str, *key: str | Column) -> Column:
-    """md5 of ``seed:key1:key2...`` as 32 hex digits."""
+    """md5 of ``seed:key1:key2...`` as 32 hex digits; a null part counts as ``\\N``, so it keeps its place."""
     parts = [F.col(k) if isinstance(k, str) else k for k in key]
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("\\N")) for p in parts]))
 
 
 def as_list(names: str | Sequence[str]) -> list[str]:

@@ -63,34 +63,6 @@ def unescape_entities(c: Column) -> Column:
     return F.coalesce(_decode_entities(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
-def remove_tags(c: Column) -> Column:
-    return F.regexp_replace(c, TAG, " ")
-
-
-def remove_emails(c: Column) -> Column:
-    return F.regexp_replace(c, EMAIL, " ")
-
-
-def remove_urls(c: Column) -> Column:
-    return F.regexp_replace(c, URL, " ")
-
-
-def remove_mentions(c: Column) -> Column:
-    return F.regexp_replace(c, MENTION, " ")
-
-
-def unwrap_hashtags(c: Column) -> Column:
-    return F.regexp_replace(c, HASHTAG, " $1 ")
-
-
-def remove_hashtags(c: Column) -> Column:
-    return F.regexp_replace(c, HASHTAG, " ")
-
-
-def keep_plain_characters(c: Column) -> Column:
-    return F.regexp_replace(c, DISALLOWED, " ")
-
-
 def squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, SPACES, " "))
 

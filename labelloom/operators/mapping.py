@@ -42,10 +42,6 @@ def mapped_rows(annotated: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def map_labels(df: DataFrame, spec: MappingSpec, label: str = "label") -> DataFrame:
-    return mapped_rows(annotate_labels(df, spec, label), label)
-
-
 def dropped_rows(annotated: DataFrame) -> DataFrame:
     return annotated.where(F.col("drop_reason").isNotNull())
 

@@ -15,16 +15,28 @@ from labelloom.session import bounded, label_table, small_table, small_window
 
 HEX_DIGITS = 4
 BUCKETS = 16**HEX_DIGITS
+# Spark cuts row_number() <= k before the shuffle up to this k (its default).
+GROUP_LIMIT = 1000
+SPREAD = 64
 
 
 def first_per_class(df: DataFrame, k: int, order: str | Sequence[str], label: str = "label") -> DataFrame:
     """The first ``k`` rows of every class, with their 1-based position.
 
-    ``row_number() <= k`` is cut to k rows per class in each task before the shuffle, so a class
-    holding most rows still sends only k rows per task.
+    Up to GROUP_LIMIT, ``row_number() <= k`` is cut to k rows per class in each task before the shuffle. For a
+    larger k the optimizer has no such cut: then each of SPREAD hash parts of a class is cut to k rows first, so the
+    last sort of a class sees SPREAD * k rows at most, whatever its size.
     """
-    window = W.Window.partitionBy(label).orderBy(*as_list(order))
-    return df.withColumn("pos", F.row_number().over(window)).where(F.col("pos") <= k)
+    return _first(df, k, label, as_list(order), "pos")
+
+
+def _first(df: DataFrame, k: int, label: str, order: Sequence[str], pos: str) -> DataFrame:
+    if k > GROUP_LIMIT:
+        part = W.Window.partitionBy(label, "_part").orderBy(*order)
+        df = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(SPREAD)))
+        df = df.withColumn(pos, F.row_number().over(part)).where(F.col(pos) <= k).drop("_part", pos)
+    window = W.Window.partitionBy(label).orderBy(*order)
+    return df.withColumn(pos, F.row_number().over(window)).where(F.col(pos) <= k)
 
 
 def examples_per_class(
@@ -78,12 +90,7 @@ def cap_per_class(df: DataFrame, k: int, order: str | Sequence[str], label: str
 def shuffled_head(df: DataFrame, k: int, key: str | Sequence[str], seed: int, label: str = "label") -> DataFrame:
     """The first ``k`` rows of every class after a seeded shuffle; ``shuffle_pos`` keeps the order."""
     hashed = df.withColumn("_h", seeded_hash(seed, *as_list(key)))
-    window = W.Window.partitionBy(label).orderBy("_h", *as_list(key))
-    return (
-        hashed.withColumn("shuffle_pos", F.row_number().over(window))
-        .where(F.col("shuffle_pos") <= k)
-        .drop("_h")
-    )
+    return _first(hashed, k, label, ["_h", *as_list(key)], "shuffle_pos").drop("_h")
 
 
 def seeded_shuffle(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:

@@ -27,10 +27,6 @@ def drop_invalid_rows(df: DataFrame, text: str = "text", label: str = "label") -
     )
 
 
-def valid_rows(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.where(t.has_text(F.col(text)))
-
-
 def long_enough(df: DataFrame, min_words: int, normalized: str = "normalized_text") -> DataFrame:
     return df.where(t.word_count(F.col(normalized)) >= min_words)
 
