@@ -538,6 +538,14 @@ def stratified_split_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return split.assign_split(items, SplitSpec(0.25, 0.25, 7), LINE_KEY)
 
 
+@query("split_repeated_keys", f"""
+WITH src AS (SELECT l_shipmode AS label, l_suppkey FROM lineitem), {sql_split('src', 'l_suppkey', 'l_suppkey', SPLIT)}
+SELECT label, l_suppkey, split, count(*) AS n FROM tagged GROUP BY 1, 2, 3""")
+def split_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    items = b.read(spark, sf, "lineitem").select(F.col("l_shipmode").alias("label"), "l_suppkey")
+    return split.assign_split(items, SPLIT, "l_suppkey").groupBy("label", "l_suppkey", "split").agg(F.count("*").alias("n"))
+
+
 @query("two_way_split", f"""
 WITH src AS (SELECT event_type AS label, event_id FROM events), {sql_split('src', 'event_id', 'event_id', SplitSpec(0.2, 0.0))}
 SELECT label, split, count(*) AS n FROM tagged GROUP BY 1, 2""")

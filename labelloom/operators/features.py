@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from labelloom.functions.text import clean
-from labelloom.session import bounded, small_window
+from labelloom.session import small_window
 
 # Fixed value: a token is a run of two or more word characters of cleaned text.
 TOKEN = "([a-z0-9]{2,})"
@@ -73,33 +73,50 @@ def with_idf(vocab: DataFrame, rows: DataFrame) -> DataFrame:
     return vocab.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
 
 
-def weighted_terms(
-    df: DataFrame, vocab: DataFrame, key: str, max_features: int, terms: str = "terms", extra: Sequence[str] = ()
-) -> DataFrame:
-    """(key, term, weight, *extra): L2-normalised tf-idf, long form.
+def known_terms(vocab: DataFrame, max_features: int, *columns: str) -> list[Row]:
+    """The rows of a vocabulary by term, held by the driver; more than ``max_features`` of them are refused."""
+    found = vocab.select("term", *columns).orderBy("term").limit(max_features + 1).collect()
+    if len(found) > max_features:
+        raise ValueError(f"the vocabulary has more than {max_features} terms")
+    return found
+
+
+def constants(values: Sequence[float] | Sequence[str]) -> Column:
+    """A long array as one constant, which the optimizer folds; numbers keep every digit."""
+    if values and isinstance(values[0], str):
+        return F.split(F.lit("\n".join(values)), "\n")
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
+def held(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns behind a generator, so that the optimizer does not work them out again at every use."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def with_weights(df: DataFrame, known: list[Row], terms: str = "terms", output: str = "weights") -> DataFrame:
+    """Adds the L2-normalised tf-idf of every row as array<struct<i, weight>>, i being the place in ``known``.
 
-    A row without any known term keeps one entry with a null term and weight 0. The token arrays are
-    distributed by key once; counting, the norm and anything per key that follows reuse that layout.
-    ``max_features`` is the proven row bound of the vocabulary.
+    Terms are counted inside the row against the vocabulary, so nothing is shuffled. A row without any known term,
+    or without terms, gets an empty array.
     """
-    known = vocab.select("term", "idf")
-    placed = df.select(key, terms).repartition(key)
-    counted = (
-        placed.select(key, F.explode_outer(terms).alias("term"))
-        .join(bounded(known, max_features), "term", "left")
-        .withColumn("term", F.when(F.col("idf").isNotNull(), F.col("term")))
-        .groupBy(key, "term", "idf")
-        .agg(F.count("*").alias("tf"))
-        .withColumn("raw", F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0)))
+    # No text has this term; the model needs one.
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in known] or ["\n"], "_terms", "_counts")
+    counted = counter.transform(df.withColumn("_terms", F.coalesce(terms, F.array().cast("array<string>"))))
+    idf = constants([r["idf"] for r in known] or [0.0])
+    vector = F.unwrap_udt("_counts")
+    raw = F.zip_with(
+        vector["indices"], vector["values"], lambda i, tf: F.struct(i.alias("i"), (tf * F.get(idf, i)).alias("raw"))
     )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.Window.partitionBy(key)))
-    weight = F.when(norm > 0, F.col("raw") / norm).otherwise(F.lit(0.0))
-    weighted = counted.withColumn("weight", weight).select(key, "term", "weight")
-    if not extra:
-        return weighted
-    return weighted.join(bounded(vocab.select("term", *extra), max_features), "term", "left")
+    raws = held(counted, _raw=raw)
+    total = F.aggregate("_raw", F.lit(0.0), lambda acc, e: acc + e["raw"] * e["raw"])
+    normed = held(raws, _norm=F.sqrt(total))
+    weights = F.transform("_raw", lambda e: F.struct(e["i"].alias("i"), (e["raw"] / F.col("_norm")).alias("weight")))
+    return held(normed, **{output: weights}).drop("_terms", "_counts", "_raw", "_norm")
 
 
 def tfidf(df: DataFrame, vocab: DataFrame, key: str, max_features: int, terms: str = "terms") -> DataFrame:
     """Non-zero entries (key, term, weight)."""
-    return weighted_terms(df, vocab, key, max_features, terms).where(F.col("term").isNotNull())
+    known = known_terms(vocab, max_features, "idf")
+    names = constants([r["term"] for r in known] or [""])
+    weighted = with_weights(df.select(key, terms), known, terms).select(key, F.inline("weights"))
+    return weighted.select(key, F.get(names, F.col("i")).alias("term"), "weight")

@@ -1,35 +1,48 @@
-"""Scoring and explaining with a linear model given as a table: (term, idf, coefs array<double>)."""
+"""Scoring and explaining with a linear model given as a table: (term, idf, coefs array<double>).
+
+Both work inside the row: weights, logits and contributions are arrays over the known terms of one text.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from labelloom.functions.numeric import argmax_label, ranked_labels, softmax
-from labelloom.operators.features import weighted_terms
+from labelloom.operators.features import constants, held, known_terms, with_weights
 
 # Fixed value: shown instead of an empty explanation.
 NO_FEATURES = "  No strong positive feature contributions were found."
 
 
-def _logit(i: int, intercepts: Sequence[float]) -> Column:
-    return F.coalesce(F.sum(F.col("weight") * F.col("coefs")[i]), F.lit(0.0)) + F.lit(float(intercepts[i]))
+def _coefficients(known: list[Row], n_labels: int) -> Column:
+    """All coefficients as one array; that of term i and label c is at i * n_labels + c."""
+    return constants([c for row in known for c in row["coefs"]] or [0.0] * n_labels)
+
+
+def _logits(coefficients: Column, intercepts: Sequence[float]) -> Column:
+    n = len(intercepts)
+
+    def one(c: int) -> Column:
+        total = F.aggregate(
+            "weights", F.lit(0.0), lambda acc, e: acc + e["weight"] * F.get(coefficients, e["i"] * n + c)
+        )
+        return total + F.lit(float(intercepts[c]))
+
+    return F.array(*[one(c) for c in range(n)])
 
 
 def linear_scores(
     df: DataFrame, model: DataFrame, labels: Sequence[str], intercepts: Sequence[float], key: str, max_features: int
 ) -> DataFrame:
     """(key, predicted_label, probabilities, scored) for a table with ``terms``."""
-    weights = weighted_terms(df, model, key, max_features, extra=["coefs"])
-    logits = weights.groupBy(key).agg(
-        *[_logit(i, intercepts).alias(f"_z{i}") for i in range(len(labels))]
-    )
-    scored = logits.select(key, F.array(*[F.col(f"_z{i}") for i in range(len(labels))]).alias("logits"))
+    known = known_terms(model, max_features, "idf", "coefs")
+    weighted = with_weights(df.select(key, "terms"), known)
+    scored = held(weighted, logits=_logits(_coefficients(known, len(labels)), intercepts))
     return (
-        scored.withColumn("probabilities", softmax(F.col("logits")))
+        held(scored, probabilities=softmax(F.col("logits")))
         .withColumn("predicted_label", argmax_label(F.col("probabilities"), labels))
         .withColumn("scored", ranked_labels(F.col("probabilities"), labels))
         .select(key, "predicted_label", "probabilities", "scored")
@@ -49,39 +62,28 @@ def explain(
     predicted label, best first; an empty list when no term is known or none is positive."""
     if top_n <= 0:
         raise ValueError("top_n must be positive")
-    weights = weighted_terms(df, model, key, max_features, extra=["coefs"])
-    per_row = W.Window.partitionBy(key)
-    logits = F.array(*[_over(i, intercepts, per_row) for i in range(len(labels))])
-    chosen = F.array_position(F.col("_z"), F.array_max("_z")).cast("int")
-    contributions = (
-        weights.withColumn("_z", logits)
-        .withColumn("_at", chosen)
-        .withColumn("score", F.col("weight") * F.element_at("coefs", F.col("_at")))
-        .withColumn("score", F.when(F.col("score") > 0, F.col("score")))
-    )
-    ranked = contributions.withColumn(
-        "_rank", F.row_number().over(per_row.orderBy(F.desc_nulls_last("score"), "term"))
-    ).where(F.col("_rank") <= top_n)
-    names = F.array(*[F.lit(label) for label in labels])
-    kept = F.when(
-        F.col("score").isNotNull(), F.struct("_rank", F.col("term").alias("feature"), F.col("score").alias("score"))
-    )
-    return (
-        ranked.groupBy(key)
-        .agg(F.min("_at").alias("_at"), F.sort_array(F.collect_list(kept)).alias("_items"))
-        .select(
-            key,
-            F.element_at(names, F.col("_at")).alias("predicted_label"),
-            F.transform(
-                "_items", lambda e: F.struct(e["feature"].alias("feature"), e["score"].alias("score"))
-            ).alias("contributions"),
-        )
-    )
+    known = known_terms(model, max_features, "idf", "coefs")
+    names = constants([r["term"] for r in known] or [""])
+    coefficients = _coefficients(known, len(labels))
+    weighted = with_weights(df.select(key, "terms"), known)
+    scored = held(weighted, logits=_logits(coefficients, intercepts))
+    chosen = held(scored, at=F.array_position("logits", F.array_max("logits")).cast("int") - 1)
 
+    def entry(e: Column) -> Column:
+        # Sorts by falling score, then by term: terms are numbered in their order.
+        score = e["weight"] * F.get(coefficients, e["i"] * len(labels) + F.col("at"))
+        return F.struct((-score).alias("rank"), e["i"].alias("i"), score.alias("score"))
 
-def _over(i: int, intercepts: Sequence[float], window: W.WindowSpec) -> Column:
-    total = F.sum(F.col("weight") * F.col("coefs")[i]).over(window)
-    return F.coalesce(total, F.lit(0.0)) + F.lit(float(intercepts[i]))
+    positive = F.filter(F.transform("weights", entry), lambda e: e["score"] > 0)
+    best = F.slice(F.sort_array(positive), 1, top_n)
+    labelled = F.array(*[F.lit(label) for label in labels])
+    return chosen.select(
+        key,
+        F.get(labelled, F.col("at")).alias("predicted_label"),
+        F.transform(best, lambda e: F.struct(F.get(names, e["i"]).alias("feature"), e["score"].alias("score"))).alias(
+            "contributions"
+        ),
+    )
 
 
 def contribution_lines(contributions: Column) -> Column:

@@ -18,7 +18,7 @@ from labelloom.config import SplitSpec
 from labelloom.functions.hashing import as_list, seeded_hash
 from labelloom.operators.checks import require_class_sizes
 from labelloom.operators.ranking import bucket_of
-from labelloom.session import bounded, small_window
+from labelloom.session import bounded, ensure_checkpoint_dir, small_window
 
 MAX_LABELS = 10_000
 
@@ -65,10 +65,12 @@ def quotas(counts: DataFrame, spec: SplitSpec) -> DataFrame:
 
 
 def cut_points(keyed: DataFrame, spec: SplitSpec) -> DataFrame:
-    """(label, test_end, validation_end): the last (hash, key) of the test and validation parts.
+    """(label, test_end, test_share, validation_end, validation_share): where the test and validation parts end.
 
-    ``keyed`` has label, _h and _k. Hash buckets that lie wholly inside a part need no ranking;
-    only the one bucket per label and boundary in which a part ends is ranked.
+    An end is the last (hash, key) of the part; its share is (taken, n): how many of the n rows with that key are
+    still inside. ``keyed`` has label, _h and _k. Hash buckets that lie wholly inside a part need no ranking; only
+    in the one bucket per label and boundary in which a part ends are keys counted and ordered, so a key that
+    repeats often is one row there.
     """
     bucketed = keyed.withColumn("_b", bucket_of(F.col("_h")))
     by_bucket = bucketed.groupBy("label", "_b").agg(F.count("*").alias("n"))
@@ -85,33 +87,74 @@ def cut_points(keyed: DataFrame, spec: SplitSpec) -> DataFrame:
         .join(limits, "label")
         .where(inside("_t") | inside("_v"))
     )
-    rank = F.col("_before") + F.row_number().over(W.Window.partitionBy("label", "_b").orderBy("_h", "_k"))
-    ranked = bucketed.join(bounded(boundary, 2 * MAX_LABELS), ["label", "_b"]).withColumn("_r", rank)
-    at = lambda mark: F.max(F.when(F.col("_r") == F.col(mark), F.struct("_h", "_k")))
-    return ranked.groupBy("label").agg(at("_t").alias("test_end"), at("_v").alias("validation_end"))
+    counted = (
+        bucketed.join(bounded(boundary.select("label", "_b", "_before", "_t", "_v"), 2 * MAX_LABELS), ["label", "_b"])
+        .groupBy("label", "_b", "_before", "_t", "_v", "_h", "_k")
+        .agg(F.count("*").alias("n"))
+    )
+    key_order = W.Window.partitionBy("label", "_b").orderBy("_h", "_k")
+    ranked = counted.withColumn("_first", F.col("_before") + F.sum("n").over(key_order) - F.col("n"))
+
+    def at(mark: str) -> Column:
+        taken = F.col(mark) - F.col("_first")
+        end = F.struct(F.struct("_h", "_k").alias("end"), F.struct(taken.alias("taken"), "n").alias("share"))
+        return F.max(F.when((taken > 0) & (taken <= F.col("n")), end))
+
+    ends = ranked.groupBy("label").agg(at("_t").alias("t"), at("_v").alias("v"))
+    return ends.select(
+        "label", F.col("t.end").alias("test_end"), F.col("t.share").alias("test_share"),
+        F.col("v.end").alias("validation_end"), F.col("v.share").alias("validation_share"),
+    )
+
+
+def _numbered(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Adds ``_i``, the 1-based number of a row in its group, by task of the input plus the rows in the tasks before.
+
+    The task numbers are written down first, so a lost executor cannot change them between the two uses.
+    """
+    held = rows.withColumn("_p", F.spark_partition_id()).withColumn("_n", F.monotonically_increasing_id()).checkpoint()
+    counts = held.groupBy(*group, "_p").agg(F.count("*").alias("_c"))
+    before = F.sum("_c").over(W.Window.partitionBy(*group).orderBy("_p")) - F.col("_c")
+    inside = F.row_number().over(W.Window.partitionBy(*group, "_p").orderBy("_n"))
+    return held.join(counts.withColumn("_before", before), [*group, "_p"]).withColumn("_i", F.col("_before") + inside)
 
 
 def assign_split(
     df: DataFrame, spec: SplitSpec, key: str | Sequence[str], label: str = "label", n_labels: int = MAX_LABELS
 ) -> DataFrame:
-    """Adds ``split`` (train / validation / test). ``key`` must be unique per row."""
+    """Adds ``split`` (train / validation / test).
+
+    Quotas are exact, also where keys repeat. Rows that share key and label count as interchangeable: how many of
+    them go to each part is fixed by key and seed, which of them is not. Finding the ends runs a job; only rows
+    whose key lies across an end are moved.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     keys = as_list(key)
     hashed = seeded_hash(spec.seed, *keys)
     ident = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
     keyed = df.select(F.col(label).alias("label"), hashed.alias("_h"), ident.alias("_k"))
-    cuts = cut_points(keyed, spec).withColumnRenamed("label", label)
+    cuts = cut_points(keyed, spec).withColumnRenamed("label", label).checkpoint()
     mark = F.struct(hashed.alias("_h"), ident.alias("_k"))
-    part = (
-        F.when(F.col("test_end").isNotNull() & (mark <= F.col("test_end")), F.lit("test"))
-        .when(F.col("validation_end").isNotNull() & (mark <= F.col("validation_end")), F.lit("validation"))
-        .otherwise(F.lit("train"))
-    )
+
+    def within(part: str, number: Column) -> Column:
+        end, taken = F.col(f"{part}_end"), F.col(f"{part}_share.taken")
+        return F.coalesce((mark < end) | ((mark == end) & (number <= taken)), F.lit(False))
+
+    def tagged(rows: DataFrame, number: Column) -> DataFrame:
+        part = F.when(within("test", number), "test").when(within("validation", number), "validation").otherwise("train")
+        return rows.withColumn("split", part).select(*df.columns, "split")
+
+    def across(part: str) -> Column:
+        share = F.col(f"{part}_share")
+        return F.coalesce((mark == F.col(f"{part}_end")) & (share["taken"] < share["n"]), F.lit(False))
+
     # Left, so that a label all of whose rows train (no cut point) is kept.
-    return (
-        df.join(bounded(cuts, n_labels), label, "left")
-        .withColumn("split", part)
-        .select(*df.columns, "split")
-    )
+    ended = df.join(bounded(cuts, n_labels), label, "left")
+    if cuts.where("test_share.taken < test_share.n or validation_share.taken < validation_share.n").isEmpty():
+        return tagged(ended, F.lit(1))
+    divided = across("test") | across("validation")
+    shared = ended.where(divided).withColumn("_at", F.when(mark == F.col("test_end"), "test").otherwise("validation"))
+    return tagged(ended.where(~divided), F.lit(1)).unionByName(tagged(_numbered(shared, [label, "_at"]), F.col("_i")))
 
 
 def check_split(df: DataFrame, spec: SplitSpec, label: str = "label") -> None:

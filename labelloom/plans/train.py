@@ -74,8 +74,8 @@ def run_training(spark: SparkSession, config: RunConfig, root: str) -> TrainingR
         spark, path(config.dataset_path), text, label, config.labels, config.remove_duplicates
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        key = [text, label] if config.remove_duplicates else [text, label, "ord"]
-        result = train_and_evaluate(table, key, config.split, config.features, text, label)
+        # Rows that repeat text and label are interchangeable, so no file position is needed to tell them apart.
+        result = train_and_evaluate(table, [text, label], config.split, config.features, text, label)
         result.classifier.save(path(config.model_output_path))
         result.predictions = result.predictions.persist(StorageLevel.MEMORY_AND_DISK)
         write_report(result.report(), path(config.metrics_output_path))
@@ -91,8 +91,7 @@ def run_error_analysis(spark: SparkSession, config: RunConfig, root: str, output
     path = lambda relative: f"{root.rstrip('/')}/{relative}"
     text, label = config.text_column, config.label_column
     table = load_labelled(spark, path(config.dataset_path), text, label, config.labels, config.remove_duplicates)
-    key = [text, label] if config.remove_duplicates else [text, label, "ord"]
-    test = assign_split(table, config.split, key, label).where("split = 'test'")
+    test = assign_split(table, config.split, [text, label], label).where("split = 'test'")
     model = TextClassifier.load(spark, path(config.model_output_path))
     write_error_analysis(model.predict(test, text, label), output, ["text", "true_label"], top_n)
 

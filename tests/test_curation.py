@@ -150,6 +150,16 @@ def test_split_is_an_exact_partition(spark, sizes, spec):
         assert got.get((label, "test"), 0) == sizes[label] - rest[label]
 
 
+@pytest.mark.parametrize("n_keys", [1, 20])
+def test_split_of_repeated_keys(spark, n_keys):
+    """Quotas stay exact and the number of rows per key and part does not depend on the partitioning."""
+    data = [(f"k{i % n_keys}" if i % n_keys else None, "a") for i in range(1000)]
+    df = spark.createDataFrame(data, "k string, label string")
+    one, many = (split.assign_split(df.repartition(n), SplitSpec(0.15, 0.15), "k") for n in (1, 7))
+    assert rows(one) == rows(many)
+    assert rows(one.groupBy("split").count()) == [("test", 150), ("train", 700), ("validation", 150)]
+
+
 def test_split_refusals(spark):
     df = spark.createDataFrame([(str(i), label) for label in "abcdef" for i in range(4)], "k string, label string")
     with pytest.raises(ValueError, match="fewer than the 6 classes"):

@@ -35,6 +35,11 @@ def test_split_moves_only_keys(spark):
     assert "Exchange hashpartitioning" not in top and "SortMergeJoin" not in top
 
 
+@pytest.mark.parametrize("name", ["tfidf_weights", "linear_scores", "explain_predictions", "contribution_lines"])
+def test_term_weights_stay_in_their_row(spark, name):
+    assert "hashpartitioning(doc_id" not in plan(QUERIES[name](spark, DATA))
+
+
 def test_scans_are_pruned(spark):
     text = plan(QUERIES["class_distribution"](spark, DATA))
     assert "ReadSchema: struct<event_type:string>" in text
