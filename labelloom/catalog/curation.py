@@ -539,10 +539,10 @@ def stratified_split_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("split_repeated_keys", f"""
-WITH src AS (SELECT l_shipmode AS label, l_suppkey FROM lineitem), {sql_split('src', 'l_suppkey', 'l_suppkey', SPLIT)}
+WITH src AS (SELECT l_linestatus AS label, l_suppkey FROM lineitem), {sql_split('src', 'l_suppkey', 'l_suppkey', SPLIT)}
 SELECT label, l_suppkey, split, count(*) AS n FROM tagged GROUP BY 1, 2, 3""")
 def split_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
-    items = b.read(spark, sf, "lineitem").select(F.col("l_shipmode").alias("label"), "l_suppkey")
+    items = b.read(spark, sf, "lineitem").select(F.col("l_linestatus").alias("label"), "l_suppkey")
     return split.assign_split(items, SPLIT, "l_suppkey").groupBy("label", "l_suppkey", "split").agg(F.count("*").alias("n"))
 
 
