@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm import bloom, textops
+from labelloom.llm.batches import small_batches
 from labelloom.llm.components import components
 from labelloom.session import ensure_checkpoint_dir
 
@@ -32,6 +33,7 @@ SHORT_LIST = 24  # posting lists up to this length send pairs; longer ones are v
 BLOCK_ROWS = 512
 CARRIED = 512  # sets up to this size travel with their postings in long lists
 VERIFY_COST = 4.0  # cost of a verification, in posting reads
+BATCH_ROWS = 1000  # rows with one or two sets each that Python gets at a time
 
 _SEPARATORS = r"\x20\x09-\x0D"
 
@@ -281,8 +283,13 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     set (n_shingles 0, null digest) and links with nothing. Repeated rows link as equal sets. Other columns,
     also clashing names, are not read. Shingles are told apart by 64-bit hashes. An empty table stays empty.
     """
-    num, den = threshold
     ensure_checkpoint_dir(docs.sparkSession)
+    # All work on sets is done when this returns, so the setting covers it.
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        return _classes(docs, id_col, text_col, size, *threshold, filter_bits)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, filter_bits: int) -> DataFrame:
     rows = _sets(docs, id_col, text_col, size, num, den, filter_bits).checkpoint()
     nodes = rows.where(F.col("tokens").isNotNull()).groupBy("d").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")).checkpoint()
     postings = _postings(nodes, num, den).checkpoint()

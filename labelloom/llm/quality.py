@@ -23,6 +23,7 @@ DIMS = 48
 NONZERO = 2
 WINDOW = 2
 HIDDEN = 24
+PIECE_BYTES = 1 << 19  # the table of context sums is passed once for each piece, so pieces are not too small
 FIT_ROWS = 20_000  # most labelled rows that the network is fitted on
 
 
@@ -44,7 +45,7 @@ def word_slots(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     Shapes: lower case, title, upper case, mixed, digits, sign, and letters that repeat one of the two words before.
     """
     data, offsets = textops.text_bytes(column)
-    for lo, hi in textops.pieces(offsets):
+    for lo, hi in textops.pieces(offsets, PIECE_BYTES):
         part = data[offsets[lo] : offsets[hi]]
         kinds = _KINDS[part]
         row, start, end = textops.runs(kinds, offsets[lo : hi + 1] - offsets[lo])

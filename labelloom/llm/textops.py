@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes handled at a time inside a batch; a longer text is one piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 OTHER_BASE = 0xC2B2AE3D27D4EB4F | 1
