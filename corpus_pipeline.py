@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import decontaminate, jaccard, linededup, mixing, quality
+from labelloom.llm.batches import lower_batches
 from labelloom.llm.queries import remainder, table
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier predicts as 0 go."""
+    lower_batches(spark)
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id") != 1)
     return quality.score_quality(docs, labels).where(F.col("predicted") == 1).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten documents share go from every text; n_chars is counted anew."""
+    lower_batches(spark)
     kept = linededup.dedup_lines(docs, min_docs=10, min_chars=1, keep="none")
     return kept.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
