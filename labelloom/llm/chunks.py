@@ -44,10 +44,10 @@ def cuts(data: np.ndarray, rel: np.ndarray) -> np.ndarray:
     best, span = h.copy(), 1
     while span < REACH:  # best[i] = max of h[i : i + span]
         add = min(span, REACH - span)
-        best[: n - add] = np.maximum(best[: n - add], best[add:])
+        best[: max(n - add, 0)] = np.maximum(best[: max(n - add, 0)], best[add:])
         span += add
     left, right = np.zeros(n, np.uint16), np.zeros(n, np.uint16)
-    left[REACH:] = best[: n - REACH]
+    left[REACH:] = best[: max(n - REACH, 0)]
     right[: n - 1] = best[1:]
     ends = (h > left) & (h >= right) & (h > 0)
     ends[rel[1:][rel[1:] > 0] - 1] = True

@@ -173,6 +173,11 @@ def test_repeated_passages_of_over_fifty_words_are_found(spark):
     assert chunks.repeated_spans(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_short_texts_alone_in_a_partition(spark):
+    rows = [(n, ("ab " * 20)[:n], "s") for n in range(1, 41)]
+    assert chunks.repeated_spans(spark.createDataFrame(rows, DOCS).repartitionByRange(40, "doc_id")).count() == 0
+
+
 # 8 Jaccard join -----------------------------------------------------------------------------------------------------
 
 
