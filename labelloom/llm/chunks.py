@@ -1,9 +1,15 @@
 """Substring dedup by content-defined chunking.
 
-A gear rolling hash runs over the bytes of a text; a cut falls behind every byte whose hash is the largest within
-REACH bytes on both sides. Cuts depend on nearby bytes only, so an insertion shifts text without changing the chunks
-after it. Chunks are compared by digest: a twice-seen Bloom filter names the suspects, only runs of suspects that
-could make up a whole passage are shuffled, counted exactly, and joined into spans.
+A gear rolling hash runs over the words of a text; a cut falls behind every word whose hash is the largest of some
+REACH words in a row, ties included. Any REACH words in a row therefore hold a cut, text that repeats included, and
+cuts depend on nearby words only, so an insertion shifts text without changing the chunks after it. Chunks are compared
+by digest: a twice-seen Bloom filter names the suspects, only runs of suspects that could make up a whole passage are
+shuffled, counted exactly, and joined into spans.
+
+Bound: let two texts share a passage of n words, byte for byte. From its GEAR_WORDS-th word on both have the same
+hashes. In the first REACH of these words let c be the last one with their largest hash: both cut there, and cuts behind
+c come from windows that begin behind c, so both have the same until the first largest hash of the last REACH words,
+where both cut again. At the start GEAR_WORDS + REACH - 1 words are lost at most, at the end REACH - 1: 22 together.
 """
 
 from __future__ import annotations
@@ -17,59 +23,66 @@ from pyspark.sql import functions as F
 
 from labelloom.llm import bloom, textops
 
-WINDOW = 16  # bytes that a 16-bit gear hash remembers
-REACH = 15  # chunks have 16 bytes at least, about 31 on average
+GEAR_WORDS = 4  # words that the gear hash remembers
+REACH = 10  # chunks have 1 to 10 words, about 5 on average
 FILTER_BITS = 28
-MIN_WORDS = 28  # whole chunks cover a passage but for some 12 words at its ends, so this finds all of over 50 words
+MIN_WORDS = 28  # at most 22 words of a passage are lost at its ends, so this finds all of over 50 words
 
-# One random value per byte, from a fixed rule.
-GEAR = (textops.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.uint16)
+# Factors of the last words in the gear hash.
+GEAR = textops.mixed(np.arange(1, GEAR_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def cuts(data: np.ndarray, rel: np.ndarray) -> np.ndarray:
-    """Whether a chunk ends behind each byte; ``rel`` holds the offsets of the texts, which always end a chunk."""
-    n = len(data)
+def cuts(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether a chunk ends behind each word; the last word of a text always ends one."""
+    n = len(hashes)
     ends = np.zeros(n, bool)
     if n == 0:
         return ends
-    h = GEAR[data]
-    step = 1
-    while step < WINDOW:  # h of the last 2 * step bytes from two halves; bits that age out are shifted away
-        older = np.zeros(n, np.uint16)
-        older[step:] = h[:-step] << np.uint16(step)
-        h, step = h + older, 2 * step
-    rows = rel[:-1][rel[:-1] < rel[1:]]
-    young = (rows[:, None] + np.arange(WINDOW - 1)).ravel()
-    h[young[young < n]] = 0  # the window still reaches over the start of the text
-    best, span = h.copy(), 1
-    while span < REACH:  # best[i] = max of h[i : i + span]
-        add = min(span, REACH - span)
-        best[: max(n - add, 0)] = np.maximum(best[: max(n - add, 0)], best[add:])
-        span += add
-    left, right = np.zeros(n, np.uint16), np.zeros(n, np.uint16)
-    left[REACH:] = best[: max(n - REACH, 0)]
-    right[: n - 1] = best[1:]
-    ends = (h > left) & (h >= right) & (h > 0)
-    ends[rel[1:][rel[1:] > 0] - 1] = True
+    ends[-1] = True
+    ends[:-1] = row[1:] != row[:-1]
+    windows = n - REACH + 1
+    if windows < 1:
+        return ends
+    h = np.zeros(n, np.uint64)
+    for k, factor in enumerate(GEAR):
+        h[k:] += hashes[: n - k] * factor
+    h = textops.mixed(h) | np.uint64(1)
+    place = np.arange(n) - np.searchsorted(row, row)
+    h[place < GEAR_WORDS - 1] = 0  # the hash still reaches over the start of the text
+    best = h[:windows].copy()  # best[i] = max of h[i : i + REACH], in windows that one text holds
+    for k in range(1, REACH):
+        np.maximum(best, h[k : k + windows], out=best)
+    best[row[:windows] != row[REACH - 1 :]] = np.iinfo(np.uint64).max
+    for k in range(REACH):
+        ends[k : k + windows] |= h[k : k + windows] == best
     return ends
 
 
 def text_chunks(column: pa.Array) -> Iterator[tuple]:
-    """Per piece: (lo, hi, row, start, end, words, first key, second key) of all chunks; positions in code points."""
+    """Per piece: (lo, hi, row, start, end, words, first key, second key) of all chunks; positions in code points.
+
+    Blanks before a chunk's first word belong to it. Keys cover the bytes of a chunk and the GEAR_WORDS words before it,
+    by which its first cut was chosen. Neighbours with equal keys are one chunk, so a word repeated is one row.
+    """
     data, offsets = textops.text_bytes(column)
-    space = textops.byte_table(r"\x20\x09-\x0D", lower=False) == 0
+    table = textops.byte_table(r"\x20\x09-\x0D", lower=False)
     for lo, hi in textops.pieces(offsets):
         part, rel = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        stop = np.flatnonzero(cuts(part, rel)) + 1
-        start = np.r_[0, stop[:-1]] if len(stop) else stop
-        row = np.searchsorted(rel, start, side="right") - 1
-        begins = ~space[part]
-        begins[1:] &= space[part[:-1]]
-        begins[rel[:-1][rel[:-1] < len(part)]] |= ~space[part[rel[:-1][rel[:-1] < len(part)]]]
-        words, points = (np.r_[0, np.cumsum(x)] for x in (begins, (part & 0xC0) != 0x80))
-        head = points[rel[row]]
-        keys = (textops.span_hashes(part, start, stop, base) for base in (textops._BASE, textops.OTHER_BASE))
-        yield lo, hi, row, points[start] - head, points[stop] - head, words[stop] - words[start], *keys
+        of, begin, end, hashes = textops.words(data, offsets, lo, hi, table)
+        last = np.flatnonzero(cuts(of, hashes))
+        first = np.r_[0, last[:-1] + 1] if len(last) else last
+        row = of[first]
+        head = np.searchsorted(of, row)
+        start, stop = np.where(first == head, rel[row], end[first - 1]), end[last]
+        before = begin[np.maximum(first - GEAR_WORDS, head)]
+        key, other = (textops.span_hashes(part, before, stop, base) for base in (textops._BASE, textops.OTHER_BASE))
+        fresh = np.ones(len(row), bool)
+        fresh[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (other[1:] != other[:-1])
+        heads = np.flatnonzero(fresh)
+        tails = np.r_[heads[1:], len(row)] - 1 if len(heads) else heads
+        points = np.r_[0, np.cumsum((part & 0xC0) != 0x80)]
+        base, row = points[rel[row[heads]]], row[heads]
+        yield lo, hi, row, points[start[heads]] - base, points[stop[tails]] - base, last[tails] + 1 - first[heads], key[heads], other[heads]
 
 
 def _long_runs(row: np.ndarray, words: np.ndarray, seen: np.ndarray, min_words: int) -> np.ndarray:
@@ -86,7 +99,7 @@ def _long_runs(row: np.ndarray, words: np.ndarray, seen: np.ndarray, min_words:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per span that other documents hold too: (id_col, start, end, n_words, first_<id_col>).
 
-    A span is an unbroken run of chunks that each occur in two documents or more, with ``min_words`` words at least;
+    A span is an unbroken run of chunks that each occur in two documents or more (behind the same words), with ``min_words`` words at least;
     start and end count code points, from 0. A document is a distinct pair of id and text: rows that repeat both are
     one, equal texts under different ids (or a null id) are two. first_<id_col> is the smallest id that holds one of
     the span's chunks (nulls aside). Null, empty and short texts have no spans. Other columns are not read.

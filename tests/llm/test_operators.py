@@ -178,6 +178,29 @@ def test_short_texts_alone_in_a_partition(spark):
     assert chunks.repeated_spans(spark.createDataFrame(rows, DOCS).repartitionByRange(40, "doc_id")).count() == 0
 
 
+def test_every_window_of_51_shared_words_meets_a_span(spark):
+    rng = random.Random(17)
+    short = [" ".join(rng.choices("abcdefgh", k=51)) for _ in range(12)]
+    unit = [text_of(rng, n).split(" ") for n in (1, 1, 2, 3, 5, 7, 12, 30)] + [["Of"], ["a", "b"]]
+    periodic = [" ".join((u * 60)[: rng.randint(51, 140)]) for u in unit]
+    rows = [(2 * k + side, f"{text_of(rng, rng.randint(0, 30))} {p} {text_of(rng, rng.randint(0, 30))}", "s") for k, p in enumerate(short + periodic) for side in (0, 1)]
+    rows += [(100 + k, f"{text_of(rng, 9 * k)} {'Of ' * n}{text_of(rng, 25)}", "s") for k, n in enumerate((51, 60, 131, 308))] + [(200, text_of(rng, 300), "s")]
+    spans = chunks.repeated_spans(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    covered = {i: set() for i, _, _ in rows}
+    for r in spans:
+        covered[r.doc_id] |= set(range(r.start, r.end))
+    holders = {}
+    for i, text, _ in rows:
+        at = [m.span() for m in re.finditer(r"\S+", text)]
+        for k in range(len(at) - 50):
+            a, b = at[k][0], at[k + 50][1]
+            holders.setdefault(text[a:b], []).append((i, a, b, at[k : k + 51]))
+    shared = [h for hs in holders.values() if len({i for i, *_ in hs}) > 1 for h in hs]
+    assert {i for i, *_ in shared} >= set(range(2 * len(short + periodic))) | {100, 101, 102, 103} and 200 not in {r.doc_id for r in spans}
+    for i, _, _, at in shared:
+        assert sum(covered[i].issuperset(range(*x)) for x in at) >= 51 - 22
+
+
 # 8 Jaccard join -----------------------------------------------------------------------------------------------------
 
 
