@@ -22,8 +22,8 @@ HINTED_ROWS = 1_000_000  # tables up to this many narrow rows are broadcast; lar
 
 # Unit words that a number may have.
 UNITS = "km|m|cm|mm|mi|miles?|ft|feet|foot|inch|inches|yards?|kg|g|mg|lbs?|pounds?|ounces?|oz|tons?|l|ml|liters?|litres?|gallons?|s|ms|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|percent|dollars?|euros?|cents?|usd|eur|mph|kmh|kw|kwh|w|v|hz|khz|mhz|ghz|kb|mb|gb|tb"
-_NUMBER = r"\p{N}+(?:[.,:]\p{N}+)*"
-_AFTER = r"(?![\p{L}\p{M}\p{N}])"
+_NUMBER = r"\p{N}+(?:_\p{N}+)*"
+_AFTER = r"(?![\p{L}\p{M}])"  # a number may follow: 5h30, 5 m²
 
 
 def _words(text: Column, inside: str) -> Column:
@@ -36,16 +36,19 @@ def _held(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def formed(df: DataFrame, text: str, values: bool = False) -> DataFrame:
-    """Replace ``text`` by word arrays of equal length: a, the template; b, lower-cased words with typed numbers; on request v, the values."""
-    df = _held(df, __clean=F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[#@~_]", " ")).drop(text)
-    typed = F.regexp_replace(F.regexp_replace("__clean", _NUMBER, "#"), rf"(?i)#\s*(?:{UNITS}){_AFTER}", "# ~ ")
-    df = _held(df, __typed=typed)
-    template = _words(F.regexp_replace("__typed", r"\p{Lu}[\p{L}\p{M}]*", "@"), "#@~")
-    columns = {"a": template, "b": _words(F.lower("__typed"), "#~")}
+    """Replace ``text`` by word arrays of equal length: a, the template; b, lower-cased words with typed numbers; on request v, the values.
+
+    All are cut from one marked text: inside numbers [.,:] become _, units behind numbers are set apart with a ~ in
+    front. Marks replace characters of words by characters of words, so the arrays cannot differ in length.
+    """
+    clean = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[#@~_]", " ")
+    marked = F.regexp_replace(F.regexp_replace(clean, r"(?<=\p{N})[.,:](?=\p{N})", "_"), rf"(?i)(\p{{N}})\s*({UNITS}){_AFTER}", "$1 ~$2 ")
+    df = _held(df, __marked=marked).drop(text)
+    df = _held(df, __typed=F.regexp_replace(F.regexp_replace("__marked", _NUMBER, "#"), r"~\p{L}+", "~"))
+    columns = {"a": _words(F.regexp_replace("__typed", r"\p{Lu}[\p{L}\p{M}]*", "@"), "#@~"), "b": _words(F.lower("__typed"), "#~")}
     if values:
-        joined = F.regexp_replace("__clean", r"(?<=\p{N})[.,:](?=\p{N})", "_")
-        columns["v"] = _words(F.lower(F.regexp_replace(joined, rf"(?i)(\p{{N}})\s*({UNITS}){_AFTER}", "$1 $2 ")), r"\p{N}_")
-    return _held(df, **columns).drop("__clean", "__typed")
+        columns["v"] = F.transform(_words(F.lower("__marked"), r"\p{N}_~"), lambda w: F.ltrim(w, F.lit("~")))
+    return _held(df, **columns).drop("__marked", "__typed")
 
 
 def _windows(words: tuple[str, ...], width: int, stride: int) -> Column:

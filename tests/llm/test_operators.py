@@ -156,6 +156,16 @@ def test_decontamination_catches_copies_and_new_parameters(spark):
     assert decontaminate.contaminated(table.limit(0), items).count() == 0
 
 
+def test_items_behind_units_between_numbers(spark):
+    item = "The first of The rivers has 12 locks and The second has 12 bridges over 3.5 km in The old town"
+    heads = ["It took 5h30 for Tom", "A room of 5 m² and 120 km²", "Some 10m2 of land", "B2B 3cm³, 5h30m10s", "1.5,2:3kg4.5 _#@~ e-mail5h"]
+    docs = spark.createDataFrame([(i, f"{head} {item}", "s") for i, head in enumerate(heads)], DOCS)
+    sizes = decontaminate.formed(docs.select("doc_id", "text"), "text", values=True).select(F.size("a"), F.size("b"), F.size("v")).collect()
+    assert all(a == b == v for a, b, v in sizes)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(tuple(r) for r in decontaminate.contaminated(docs, items).collect()) == [(i, 1, 1.0, True) for i in range(len(heads))]
+
+
 # 7 substring dedup --------------------------------------------------------------------------------------------------
 
 
