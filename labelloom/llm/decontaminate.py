@@ -1,9 +1,9 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
 Numbers, units behind numbers and capitalised words become typed placeholders; what remains is a template that a
-re-parameterised question shares with its original. Windows of templates are joined by hash. Texts are first searched
-at a stride that no copied stretch of the wanted share of an item can slip through; the texts found there are compared
-at every position. A window counts when its slots are consistent: along one alignment, a value of the item always
+re-parameterised question shares with its original. Windows of templates are joined by hash, at every position of a text:
+first only to find the texts that hold any window of any item, then to compare these. An item's windows have WINDOW
+words, or all of a shorter item, whatever other items there are. A window counts when its slots are consistent: along one alignment, a value of the item always
 stands for the same value of the text. Windows of the plain lower-cased words are joined too, so that a change of case
 hides nothing.
 """
@@ -51,13 +51,18 @@ def formed(df: DataFrame, text: str, values: bool = False) -> DataFrame:
     return _held(df, **columns).drop("__marked", "__typed")
 
 
-def _windows(words: tuple[str, ...], width: int, stride: int) -> Column:
-    """Array of (at, hs): start and hashes, one per word array, of the windows at every stride-th word.
+def _hashed(df: DataFrame, *words: str) -> DataFrame:
+    """Add ``h`` + name, the hashes of the words of an array column."""
+    return _held(df, **{f"h{w}": F.transform(w, lambda x: F.xxhash64(x)) for w in words})
+
+
+def _windows(words: tuple[str, ...], width: Column) -> Column:
+    """Array of (at, hs): start and hashes, one per array of hashed words, of the windows at every word.
 
     ``words`` names columns of equal length: an expression in their place would be worked out again for every window.
     """
     last = F.size(words[0]) - width
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     hashes = lambda at: F.array_distinct(F.array(*[F.xxhash64(F.slice(w, at + 1, width)) for w in words]))
     return F.transform(starts, lambda at: F.struct(at.alias("at"), hashes(at).alias("hs")))
 
@@ -80,29 +85,27 @@ def leaked_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     ensure_checkpoint_dir(docs.sparkSession)
     items = formed(benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("t")), "t", values=True)
     items = items.where(F.size("a") >= MIN_WORDS).checkpoint()
-    shortest = items.agg(F.min(F.size("a"))).first()[0]
-    if shortest is None:
+    width = F.least(F.lit(window), F.size("a"))
+    widths = sorted(r[0] for r in items.select(width).distinct().collect())  # at most window - MIN_WORDS + 1
+    if not widths:
         return docs.sparkSession.createDataFrame([], "k1 long, k2 long, item_id long, cover double, exact boolean")
-    width = min(window, shortest)
-    # A stretch of the wanted share of an item has so many words at least; one window of the stride lies inside.
-    wanted = max(width, -int(-cover * (shortest - width + 1) // 1) + width - 1)
-    stride = max(1, wanted - width + 1)
-    groups = items.groupBy("a", "b", "v").agg(F.collect_set("item_id").alias("ids")).withColumn("g", F.xxhash64("v", "a")).checkpoint()
-    windows = groups.select("g", F.explode(_windows(("a", "b"), width, 1)).alias("x"))
+    groups = items.groupBy("a", "b", "v").agg(F.collect_set("item_id").alias("ids")).withColumn("g", F.xxhash64("v", "a")).withColumn("width", width).checkpoint()
+    windows = _hashed(groups, "a", "b").select("g", F.explode(_windows(("ha", "hb"), F.col("width"))).alias("x"))
     spots = windows.select("g", "x.at", F.explode("x.hs").alias("h")).checkpoint()
     wanted_hashes = _hinted(spots.select("h").distinct())
 
-    probes = formed(docs.select(*text_key(text_col), F.col(text_col).alias("t")), "t")
-    probes = probes.select("k1", "k2", F.explode(_windows(("a", "b"), width, stride)).alias("x")).select("k1", "k2", F.explode("x.hs").alias("h"))
+    everywhere = lambda *words: F.concat(*[_windows(words, F.lit(w)) for w in widths])
+    probes = _hashed(formed(docs.select(*text_key(text_col), F.col(text_col).alias("t")), "t"), "a", "b")
+    probes = probes.select("k1", "k2", F.explode(F.array_distinct(F.flatten(F.transform(everywhere("ha", "hb"), lambda x: x["hs"])))).alias("h"))
     found = probes.join(wanted_hashes, "h", "left_semi").select("k1", "k2").distinct().checkpoint()
     texts = docs.select(*text_key(text_col), F.col(text_col).alias("t")).join(_hinted(found), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("t").alias("t"))
     texts = formed(texts, "t", values=True).withColumnsRenamed({"a": "ta", "b": "tb", "v": "tv"}).checkpoint()
 
-    places = texts.select("k1", "k2", F.explode(_windows(("ta", "tb"), width, 1)).alias("x"))
+    places = _hashed(texts, "ta", "tb").select("k1", "k2", F.explode(everywhere("hta", "htb")).alias("x"))
     places = places.select("k1", "k2", F.col("x.at").alias("pos"), F.explode("x.hs").alias("h"))
     hits = places.join(spots, "h").select("k1", "k2", "g", "pos", "at").distinct()
-    wide = hits.join(texts, ["k1", "k2"]).join(groups.select("g", "a", "v"), "g")
-    part = lambda c, at: F.slice(c, F.col(at) + 1, width)
+    wide = hits.join(texts, ["k1", "k2"]).join(groups.select("g", "a", "v", "width"), "g")
+    part = lambda c, at: F.slice(c, F.col(at) + 1, F.col("width"))
     slots = F.filter(F.arrays_zip(part("a", "at").alias("kind"), part("v", "at").alias("item"), part("tv", "pos").alias("text")), lambda s: s["kind"].rlike("[#@~]"))
     pairs = F.transform(slots, lambda s: F.struct(s["item"].alias("item"), s["text"].alias("text")))
     slotted = wide.select("k1", "k2", "g", "at", (F.col("pos") - F.col("at")).alias("line"), pairs.alias("pairs"))
@@ -112,7 +115,7 @@ def leaked_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     same = F.forall("pairs", lambda p: p["item"].eqNullSafe(p["text"]))
     good = lines.where(even).select("k1", "k2", "g", same.alias("same"), F.explode("ats").alias("at"))
     score = good.groupBy("k1", "k2", "g").agg(F.count_distinct("at").alias("n"), F.every("same").alias("exact"))
-    sized = groups.select("g", "ids", (F.size("a") - width + 1).alias("all"))
+    sized = groups.select("g", "ids", (F.size("a") - F.col("width") + 1).alias("all"))
     kept = score.join(sized, "g").withColumn("cover", F.col("n") / F.col("all")).where(F.col("cover") >= cover)
     return kept.select("k1", "k2", F.explode("ids").alias("item_id"), "cover", "exact")
 

@@ -166,6 +166,23 @@ def test_items_behind_units_between_numbers(spark):
     assert sorted(tuple(r) for r in decontaminate.contaminated(docs, items).collect()) == [(i, 1, 1.0, True) for i in range(len(heads))]
 
 
+def test_decontamination_matches_a_scan_of_all_windows(spark):
+    rng = random.Random(19)
+    item = text_of(rng, 60)
+    docs = [(k, f"{text_of(rng, k % 37)} {near_copy(rng, item, 1)} {text_of(rng, 5)}", "s") for k in range(80)]
+    docs += [(k, f"{text_of(rng, k % 7)} {near_copy(rng, item, rng.randint(2, 7))}", "s") for k in range(80, 160)]
+    words = item.split(" ")
+    docs += [(k, " ".join([*text_of(rng, 35).split(" ")[: k % 35], *words[: k - 160], "zzzz", *words[k - 160 :]]), "s") for k in range(160, 220)]
+    windows = lambda text: [tuple(text.split(" ")[k : k + 6]) for k in range(len(text.split(" ")) - 5)]
+    share = {i: sum(w in set(windows(t)) for w in windows(item)) / 55 for i, t, _ in docs}
+    want = sorted((i, 1, c, True) for i, c in share.items() if c >= 0.6)
+    assert 140 < len(want) < 220
+    table = spark.createDataFrame(docs, DOCS)
+    for others in ([], [(2, "five words make one item")]):
+        items = spark.createDataFrame([(1, item), *others], "item_id long, text string")
+        assert sorted(tuple(r) for r in decontaminate.contaminated(table, items).collect()) == want
+
+
 # 7 substring dedup --------------------------------------------------------------------------------------------------
 
 
