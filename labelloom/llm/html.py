@@ -32,16 +32,21 @@ NOISE = set(
     " complementary contentinfo skip hidden".split()
 )
 
+# Words for places that may stand beside those in one name (site-footer, nav-left), but mark nothing alone.
+PLACES = set("site page main global top bottom left right primary secondary area block box container wrap wrapper list section slot unit links".split())
+READERS = set("comment comments commentlist disqus reply replies discussion related recommended recommendations".split())
+FOREIGN = ("svg", "math", "object")  # without an end tag they end at once
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>|<[!?/][^<>]*>", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("chars", "children", "link_chars", "link_tags", "name", "noise", "parent", "tags", "total")
+    __slots__ = ("chars", "children", "link_chars", "link_tags", "name", "noise", "parent", "soft", "tags", "total")
 
-    def __init__(self, name: str, parent: Node | None, noise: bool):
-        self.name, self.parent, self.noise = name, parent, noise
+    def __init__(self, name: str, parent: Node | None, noise: bool, soft: str = ""):
+        self.name, self.parent, self.noise, self.soft = name, parent, noise or bool(soft), soft
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.total = 0.0
@@ -58,17 +63,76 @@ def _noisy(name: str, attributes: str, parent: Node) -> bool:
         value = next((v for v in values if v), "")
         if key.lower() == "hidden" or (key.lower() == "aria-hidden" and value == "true"):
             return True
-        if key.lower() in ("class", "id", "role") and NOISE & set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-            return True
     return False
 
 
+def _soft(name: str, attributes: str) -> str:
+    """"layout" or "readers" if a whole name in class, id or role is made of words of NOISE and PLACES, else ""."""
+    found = ""
+    if not attributes or name in ("html", "body", "main"):
+        return found
+    for key, *values in _NAMED.findall(attributes):
+        if key.lower() not in ("class", "id", "role"):
+            continue
+        for token in next((v for v in values if v), "").split():
+            words = set(re.split(r"[-_]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", token).lower().strip("-_")))
+            if words & NOISE and words <= NOISE | PLACES:
+                found = "readers" if words & READERS else found or "layout"
+    return found
+
+
+def _overrule(root: Node) -> None:
+    """Elements that a class or id marks are text after all if they hold more of it than all that is not marked.
+
+    Texts of readers are often longer than the article, so their marks give way only where nothing else has text.
+    """
+
+    def measure(top: Node) -> tuple[int, int, list[Node]]:
+        """Characters outside marked elements, the same with marked layout, and the outermost marked elements."""
+        plain = full = 0
+        marked, todo = [], [(top, False)]
+        while todo:
+            node, inside = todo.pop()
+            for c in node.children:
+                if isinstance(c, str):
+                    full += len(c.strip())
+                    plain += 0 if inside else len(c.strip())
+                elif not c.noise:
+                    todo.append((c, inside))
+                elif c.soft:
+                    if not inside:
+                        marked.append(c)
+                    if c.soft == "layout":
+                        todo.append((c, True))
+        return plain, full, marked
+
+    rest, _, marked = measure(root)
+    while marked:
+        sized = [(measure(n), n) for n in marked if n.soft == "layout" or not rest]
+        best, node = max(sized, key=lambda x: x[0][1], default=((0, 0, []), None))
+        if node is None or best[1] <= rest:
+            return
+        node.noise, rest, marked = False, rest + best[0], best[2]
+
+
 def _within(node: Node | None, names: tuple[str, ...]) -> Node | None:
     while node is not None and node.name not in names:
         node = node.parent
     return node
 
 
+def _foreign_end(name: str, attributes: str, page: str, at: int) -> int:
+    """Where the end tag that balances an element stops, or ``at`` if it is closed by itself or never."""
+    if attributes.endswith("/"):
+        return at
+    depth = 1
+    for tag in re.compile(f"<(/?){name}(?=[\\s/>])[^>]*?(/?)>", re.I).finditer(page, at):
+        depth += -1 if tag[1] else not tag[2]
+        if not depth:
+            return tag.end()
+    return at
+
+
 def parse(page: str) -> Node:
     """The page as a tree. Unclosed and stray tags are mended the way browsers do it for paragraphs, lists and tables."""
     root = Node("html", None, False)
@@ -101,11 +165,16 @@ def parse(page: str) -> Node:
                 stop = here if here.name in CLOSED_BY[name] else None
         if here.name == "head" and name in BLOCK | {"nav", "footer", "aside", "form"}:
             here = here.parent
-        node = Node(name, here, _noisy(name, attributes, here))
+        node = Node(name, here, _noisy(name, attributes, here), _soft(name, attributes))
+        if name in NEVER:
+            node.soft = ""
         here.children.append(node)
         if name in RAW:
-            end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if name in FOREIGN:
+                at = _foreign_end(name, attributes, page, at)
+            else:
+                end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+                at = end.end() if end else len(page)
         elif name not in VOID and not attributes.endswith("/"):
             here = node
     if at < len(page):
@@ -136,6 +205,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _overrule(root)
     order = _postorder(root)
     for node in order:
         inner = [c for c in node.children if isinstance(c, Node) and not c.noise]

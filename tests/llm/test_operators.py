@@ -287,6 +287,20 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "tag",
+    ["article class='post category-social tag-search'", "article class='hentry has-comments'", "div class='content with-sidebar'", "div id='layout-nav-left'", "div class='widget'", "div class='search' id='site-overlay'"],
+)
+def test_marks_do_not_hide_the_article(tag):
+    page = f"<body><div class='site-footer'>foot</div><{tag}><p>The first of some words</p><p>And a second line</p><div class='comments'><p>{'reader ' * 50}</p></div></{tag.split()[0]}></body>"
+    assert html.main_text(page) == "The first of some words\n\nAnd a second line"
+
+
+@pytest.mark.parametrize("tag", ["<svg width='1'/>", "<math/>", "<object data='x'>", "<svg><path d=''/>", "<svg><svg>x</svg>y</svg>"])
+def test_foreign_elements_do_not_swallow_the_page(tag):
+    assert html.main_text(f"<body><article><p>One {tag}two</p><p>Three</p></article></body>") == "One two\n\nThree"
+
+
 def test_extract_text_keeps_rows(spark):
     pages = spark.createDataFrame([(1, None), (1, None), (2, "<p>é</p>")], "page_id long, html string").withColumn("text", F.lit(0))
     assert sorted((r.page_id, r.text, r.n_chars) for r in html.extract_text(pages).collect()) == [(1, "", 0), (1, "", 0), (2, "é", 1)]
