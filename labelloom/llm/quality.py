@@ -129,7 +129,7 @@ class Network:
 
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 0.02, decay: float = 1e-3) -> Network:
-    """Full-batch Adam on four fifths of the rows (weighted to even classes halfway), the temperature on the others."""
+    """Full-batch Adam on four fifths of the rows, all weighted alike, the temperature on the others."""
     mean, scale = (x.mean(0), x.std(0) + 1e-4) if len(x) else (0.0, 1.0)
     if len(x) < 10 or y.min() == y.max():
         return Network(mean, scale, None, float(y.mean()) if len(y) else 0.5)
