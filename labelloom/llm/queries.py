@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chunks, decontaminate, html, jaccard, licenses, linededup, mixing, quality, topk, urls
+from labelloom.llm import chunks, decontaminate, html, jaccard, licenses, linededup, mixing, quality, sharding, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,3 +137,35 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows are the hits: a document and a benchmark item that it holds. Tests compare with a brute-force scan."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs.select("doc_id", "text"), items)
+
+
+# crc32 of a text in SQL: the table of the 256 remainders, then one step for each UTF-8 byte.
+_CRC_TABLE = """
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps)"""
+
+
+def _sql_crc32(text: str) -> str:
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {data}, lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+@query(f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, {_sql_crc32("coalesce(text, '')")} AS text_crc32 FROM documents, crc),
+j AS (
+  SELECT r, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16))::UBIGINT::HUGEINT AS k, 0::BIGINT AS b, 0::BIGINT AS ahead FROM d
+  UNION ALL
+  SELECT r, nk, ahead, floor((ahead + 1) * (2147483648::DOUBLE / (nk // 8589934592 + 1)::DOUBLE))::BIGINT
+  FROM (SELECT r, ahead, (k * 2862933555777941757 + 1) % 18446744073709551616::HUGEINT AS nk FROM j WHERE ahead < 25)),
+s AS (SELECT r, max(b) FILTER (WHERE b < 24) AS shard, max(b) AS grown_shard FROM j GROUP BY r)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ',' || size || ',' || text_crc32), doc_id, size, text_crc32) - 1 AS slot
+FROM d JOIN s USING (r)
+""")
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    size = (F.octet_length(text) + 8).cast("long").alias("size")
+    rows = table(spark, sf_dir, "documents").select("doc_id", size, F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"))
+    sharded = sharding.with_shards(rows, "doc_id", 24, grown=True)
+    return sharding.numbered(sharded, ["doc_id", "size", "text_crc32"])
