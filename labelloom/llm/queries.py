@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chunks, decontaminate, html, jaccard, licenses, linededup, mixing, quality, sharding, topk, urls
+from labelloom.llm import chunks, decontaminate, html, jaccard, licenses, linededup, mixing, quality, ranked, sharding, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,3 +169,24 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", size, F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"))
     sharded = sharding.with_shards(rows, "doc_id", 24, grown=True)
     return sharding.numbered(sharded, ["doc_id", "size", "text_crc32"])
+
+
+def _sql_terms(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({low}, '[^{ranked.TERM_BREAKS}]+')"
+
+
+@query(f"""
+WITH q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_sql_terms("text")}) AS term FROM benchmark)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_sql_terms("text")} AS a FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(a))::BIGINT AS n_terms FROM d WHERE len(a) > 0),
+p AS (SELECT r, doc_id, len(a) AS n, unnest(a) AS term FROM d),
+t AS (SELECT r, term, any_value(doc_id) AS doc_id, any_value(n) AS n, count(*) AS tf FROM p WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM t, s GROUP BY term),
+i AS (SELECT r, term, doc_id, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS part FROM t JOIN w USING (term), s),
+f AS (SELECT item_id, r, any_value(doc_id) AS doc_id, sum(part)::BIGINT AS score FROM q JOIN i USING (term) GROUP BY item_id, r)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM f WHERE score > 0 QUALIFY rank <= 50
+""")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
