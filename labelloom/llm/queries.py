@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chunks, decontaminate, html, jaccard, licenses, linededup, mixing, quality, ranked, sharding, topk, urls
+from labelloom.llm import chunks, decontaminate, html, jaccard, licenses, linededup, mixing, quality, ranked, sharding, spelling, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,3 +190,30 @@ FROM f WHERE score > 0 QUALIFY rank <= 50
 """)
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query(f"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY doc_id, run),
+h AS (SELECT run, n, {_sql_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM c, crc),
+v AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+x AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT DISTINCT word, near FROM (
+  SELECT a.word, b.word AS near FROM x a JOIN x b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT x.word, w.word FROM x JOIN w ON x.cut = w.word
+  UNION ALL SELECT w.word, x.word FROM x JOIN w ON x.cut = w.word)),
+g AS (SELECT p.word, a.n, p.near, b.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near
+      FROM p JOIN w a ON a.word = p.word JOIN w b ON b.word = p.near
+      QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY b.n DESC, p.near) = 1),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+      FROM w LEFT JOIN g USING (word)),
+t AS (SELECT word, word AS root, 0 AS d FROM f
+      UNION ALL SELECT t.word, f.form, d + 1 FROM t JOIN f ON f.word = t.root WHERE f.form IS NOT NULL)
+SELECT word, form, arg_max(root, d) AS root, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form_n) AS form_n
+FROM f JOIN t USING (word) GROUP BY word, form
+""")
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
