@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.llm import bloom, textops
-from labelloom.session import ensure_checkpoint_dir
+from labelloom.session import bounded, ensure_checkpoint_dir
 
 # Characters between terms, and the scale of weights, impacts and lengths: fixed values of the ranking.
 TERM_BREAKS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
@@ -132,9 +132,9 @@ def _index(counts: DataFrame, n_docs: int, n_terms: int, block_docs: int) -> Dat
     """One row for each block of a stratum: m, its documents, and postings by term and falling tf."""
     length = F.expr(f"cast(n as decimal(38, 0)) * {SLOPE} * {n_docs} div {max(n_terms, 1)}").cast("long")
     held = counts.where(F.length("terms") > 0).withColumn("m", F.lit(BASE - SLOPE) + length).drop("n")
-    strata = held.groupBy("m").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_docs)).cast("int").alias("parts"))
+    strata = held.groupBy("m").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_docs)).cast("int").alias("parts")).checkpoint()
     # Places count rows of a task, so copies of one row spread over the blocks as other rows do.
-    held = held.join(strata, "m").withColumn("block", F.pmod(F.xxhash64("place", "id"), F.col("parts")).cast("int"))
+    held = held.join(bounded(strata, strata.count()), "m").withColumn("block", F.pmod(F.xxhash64("place", "id"), F.col("parts")).cast("int"))
 
     def build(key: tuple, group: pa.Table) -> pa.Table:
         terms, tfs = group.column("terms").to_pylist(), group.column("tfs").to_pylist()
@@ -147,7 +147,8 @@ def _index(counts: DataFrame, n_docs: int, n_terms: int, block_docs: int) -> Dat
         ids = pa.array([group.column("id").to_pylist()], pa.list_(pa.int64()))
         return pa.table([pa.array([key[0].as_py()]), pa.array([key[1].as_py()], pa.int32()), ids, *[pa.array([a.tobytes()], pa.binary()) for a in arrays]], names=["m", "block", "ids", "terms", "starts", "tfs", "docs"])
 
-    return held.select("m", "block", "id", "terms", "tfs").groupBy("m", "block").applyInArrow(build, _INDEX)
+    # Dealt by block: the exchange of a join on m would put a common length into one task.
+    return held.select("m", "block", "id", "terms", "tfs").repartition("m", "block").groupBy("m", "block").applyInArrow(build, _INDEX)
 
 
 def impact(tf: np.ndarray, m: int) -> np.ndarray:
