@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PROBES = 2
 SHARD_BYTES = 1 << 17
@@ -103,6 +105,53 @@ def twice_seen(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.nd
     return df.sparkSession.sparkContext.broadcast(bits)
 
 
+MEMBER_BITS = 29  # of a filter over listed keys: 64 MB at most; beyond some 50 million keys it lets more pass
+
+
+def members(keys: DataFrame, n_keys: int) -> Broadcast:
+    """A broadcast filter of the values of a one-column table of well mixed long keys, sized by their counted number.
+
+    What it lets pass by mistake has to be told apart by the caller; it never refuses a listed key.
+    """
+    log2_bits = min(max(int(16 * max(n_keys, 1) - 1).bit_length(), 12), MEMBER_BITS)
+    size = min(SHARD_BYTES, 1 << (log2_bits - 3))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << (log2_bits - 3), np.uint8)
+        for batch in batches:
+            _set(bits, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), log2_bits)
+        for k, at in enumerate(range(0, len(bits), size)):
+            if bits[at : at + size].any():
+                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([pa.compress(bits[at : at + size].tobytes(), "zstd", asbytes=True)], pa.binary())], names=["shard", "bits"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for shard, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                part = np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), np.uint8)
+                kept[shard] = kept[shard] | part if shard in kept else part
+        for shard, part in kept.items():
+            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([pa.compress(part.tobytes(), "zstd", asbytes=True)], pa.binary())], names=["shard", "bits"])
+
+    ddl = "shard int, bits binary"
+    n_shards = (1 << (log2_bits - 3)) // size
+    merged = keys.mapInArrow(build, ddl).repartition(min(n_shards, 32), "shard").mapInArrow(merge, ddl)
+    bits = np.zeros(1 << (log2_bits - 3), np.uint8)
+    for shard, packed in merged.collect():
+        bits[shard * size : (shard + 1) * size] = np.frombuffer(pa.decompress(bytes(packed), size, "zstd", asbytes=True), np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(bits)
+
+
+def may_hold(shared: Broadcast) -> Callable:
+    """A boolean function of a long column: may its value be listed in the filter?"""
+
+    @F.pandas_udf("boolean")
+    def held(keys: pd.Series) -> pd.Series:
+        return pd.Series(contains(shared.value, keys.to_numpy(np.int64).view(np.uint64)))
+
+    return held
+
+
 def summed(df: DataFrame, accumulate: Callable[[Iterator[pa.RecordBatch]], np.ndarray], length: int) -> np.ndarray:
     """The sum over all tasks of an int64 array of fixed ``length``, built by ``accumulate`` and merged by shard.
 

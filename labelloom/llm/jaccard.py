@@ -1,7 +1,7 @@
 """Exact Jaccard join of word shingle sets by adaptive multi-match prefixes, as connected classes.
 
-1. A set can only have a partner if it has enough tokens that occur elsewhere; a twice-seen Bloom filter leaves
-   the few documents for which that may hold. Only their sets are shuffled.
+1. A set can only have a partner if enough of its smallest tokens by hash occur elsewhere; a twice-seen Bloom filter
+   leaves the tokens for which that may hold, and these are counted exactly. Only sets with enough of them go on.
 2. Equal sets become one node. Tokens of a node are ordered from rare to frequent by a counting sketch. Each
    node lengthens its prefix from the sketch's estimate of its candidates: with l - 1 more tokens, a partner has
    to share l tokens of the prefix before it is verified.
@@ -19,6 +19,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from labelloom.llm import bloom, textops
 from labelloom.llm.batches import small_batches
@@ -33,6 +35,8 @@ SHORT_LIST = 24  # posting lists up to this length send pairs; longer ones are v
 BLOCK_ROWS = 512
 CARRIED = 512  # sets up to this size travel with their postings in long lists
 VERIFY_COST = 4.0  # cost of a verification, in posting reads
+CHUNK_TOKENS = 1 << 20  # suspected tokens, and
+CHUNK_ROWS = 1 << 16  # rows that a task counts among themselves before it hands them on
 BATCH_ROWS = 1000  # rows with one or two sets each that Python gets at a time
 
 _SEPARATORS = r"\x20\x09-\x0D"
@@ -57,37 +61,155 @@ def text_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarra
         yield lo, hi, *textops.shingles(row, hashes, size)
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, filter_bits: int) -> DataFrame:
-    """(id, h, n, d, tokens): hash of the text, set size, digest of the set, and the sorted set itself where it may have a partner."""
+def _extra(n, num: int, den: int):
+    """Tokens that two sets must share among their smallest ones, beyond the one that is certain: a twentieth."""
+    return np.maximum(1, np.minimum(n // 20, _need(n, num, den)))
+
+
+def _digests(keys: np.ndarray, heads: np.ndarray, n: np.ndarray) -> list[bytes | None]:
+    return [xxhash.xxh3_128_digest(keys[h : h + m].tobytes()) if m else None for h, m in zip(heads, n, strict=True)]
+
+
+class _Chunk:
+    """Rows of a task with their suspected tokens, until they are handed on."""
+
+    def __init__(self, names: list[str], types: list[pa.DataType]):
+        self.names, self.types = names, types
+        self.ids, self.hashes, self.n, self.digests, self.tokens, self.owners = [], [], [], [], [], []
+        self.rows = self.size = 0
+
+    def add(self, ids: pa.Array, hashes: pa.Array, n: np.ndarray, digests: list, tokens: np.ndarray, owners: np.ndarray) -> None:
+        self.ids.append(ids), self.hashes.append(hashes), self.n.append(n), self.digests.extend(digests)
+        self.tokens.append(tokens), self.owners.append(owners + self.rows)
+        self.rows += len(n)
+        self.size += len(tokens)
+
+    def _batch(self, size: int, **columns) -> pa.RecordBatch:
+        arrays = [columns[c] if c in columns else pa.nulls(size, t) for c, t in zip(self.names, self.types, strict=True)]
+        return pa.record_batch([a.cast(t) for a, t in zip(arrays, self.types, strict=True)], names=self.names)
+
+    def handed(self) -> Iterator[pa.RecordBatch]:
+        """The rows; for each set how many suspected tokens another set of the chunk holds; and each token once."""
+        n = np.concatenate(self.n)
+        own = np.array([int.from_bytes(d[:8], "little", signed=True) if d else 0 for d in self.digests], np.int64)
+        yield self._batch(self.rows, id=pa.concat_arrays(self.ids), h=pa.concat_arrays(self.hashes), n=pa.array(n), d=pa.array(self.digests, pa.binary()), k=pa.array(own))
+        sets, first, code = np.unique(own, return_index=True, return_inverse=True)
+        token, owner = np.concatenate(self.tokens), code[np.concatenate(self.owners)]
+        order = np.lexsort((owner, token))
+        token, owner = token[order], owner[order]
+        fresh = np.ones(len(token), bool)  # a copy of the set adds nothing
+        fresh[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
+        token, owner = token[fresh], owner[fresh]
+        head = np.ones(len(token), bool)
+        head[1:] = token[1:] != token[:-1]
+        group = np.cumsum(head) - 1
+        several = (np.bincount(group) > 1) if len(group) else np.zeros(0, bool)
+        counted = np.bincount(owner[several[group]], minlength=len(sets)) if len(group) else np.zeros(len(sets), np.int64)
+        held = n[first] > 0
+        yield self._batch(int(held.sum()), k=pa.array(sets[held]), n=pa.array(n[first][held]), c=pa.array(counted[held]))
+        at = np.flatnonzero(head)
+        yield self._batch(len(at), t=pa.array(token[at].view(np.int64)), k=pa.array(sets[owner[at]]), several=pa.array(several))
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, c): how many tokens of each set, sent to be confirmed, another set holds. Rows come sorted by token."""
+    rest: pa.Table | None = None
+
+    def counted(part: pa.Table) -> pa.RecordBatch:
+        t, k, several = (part.column(c).to_numpy(zero_copy_only=False) for c in ("t", "k", "several"))
+        heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        low, high = np.minimum.reduceat(k, heads), np.maximum.reduceat(k, heads)
+        shared = (low != high) | np.logical_or.reduceat(several, heads)
+        own = k[np.repeat(shared, np.diff(np.r_[heads, len(t)])) & ~several]
+        sets, c = np.unique(own, return_counts=True)
+        return pa.record_batch([pa.array(sets, pa.int64()), pa.array(c, pa.int64())], names=["k", "c"])
+
+    for batch in batches:
+        whole = pa.Table.from_batches([batch])
+        whole = pa.concat_tables([rest, whole]) if rest is not None else whole
+        tokens = whole.column("t").to_numpy()
+        cut = int(np.searchsorted(tokens, tokens[-1])) if len(tokens) else 0
+        if cut:
+            yield counted(whole.slice(0, cut))
+        rest = whole.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield counted(rest)
+
+
+def _profiles(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, h, n, d, k) of all documents, and k of the sets that may have a partner.
+
+    Partners share a set number of their smallest tokens by hash. Two Bloom filters over those tell which of them may
+    occur in two sets; these are counted exactly, inside a chunk of rows first, and once for each chunk between chunks,
+    so that a token that very many documents hold sends one row a chunk.
+    """
+
+    def smallest(column: pa.Array):
+        for lo, hi, rows, keys in text_sets(column, size):
+            n = np.bincount(rows, minlength=hi - lo)
+            heads = np.cumsum(n) - n
+            prefix = n - _need(n, num, den) + _extra(n, num, den)
+            yield lo, hi, rows, keys, n, heads, np.arange(len(keys)) - heads[rows] < prefix[rows]
 
-    def all_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, _, _, keys in text_sets(batch.column("t"), size):
-            yield keys
+    def prefix_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, _, keys, _, _, small in smallest(batch.column("t")):
+            yield keys[small]
 
-    twice = bloom.twice_seen(docs.select(F.col(text_col).alias("t")), all_keys, filter_bits)
+    twice = bloom.twice_seen(docs.select(F.col(text_col).alias("t")), prefix_keys, filter_bits)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
+    schema = source.selectExpr("id", "h", "0L as n", "cast(null as binary) as d", "0L as k", "0L as c", "0L as t", "true as several").schema
+    schema = StructType([StructField(f.name, f.dataType) for f in schema])  # each kind of row leaves some columns null
+    names, types = schema.names, list(to_arrow_schema(schema).types)
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _Chunk(names, types)
+        for batch in batches:
+            for lo, hi, rows, keys, n, heads, small in smallest(batch.column("t")):
+                at = np.flatnonzero(small)
+                at = at[bloom.contains(twice.value, keys[at])]
+                chunk.add(batch.column("id").slice(lo, hi - lo), batch.column("h").slice(lo, hi - lo), n, _digests(keys, heads, n), keys[at], rows[at])
+                if chunk.size >= CHUNK_TOKENS or chunk.rows >= CHUNK_ROWS:
+                    yield from chunk.handed()
+                    chunk = _Chunk(names, types)
+        if chunk.rows:
+            yield from chunk.handed()
+
+    everything = source.select("id", "t", "h").mapInArrow(profile, schema).checkpoint()
+    rows = everything.where(F.col("h").isNotNull()).select("id", "h", "n", "d", "k")
+    sent = everything.where(F.col("t").isNotNull()).select("t", "k", "several")
+    replies = sent.repartition("t").sortWithinPartitions("t").mapInArrow(_confirmed, "k long, c long")
+    local = everything.where(F.col("c").isNotNull()).select("k", "c", "n", F.lit(1).alias("chunks"))
+    counts = local.unionByName(replies.select("k", "c", F.lit(None).cast("long").alias("n"), F.lit(0).alias("chunks")))
+    counts = counts.groupBy("k").agg(F.sum("c").alias("c"), F.max("n").alias("n"), F.sum("chunks").alias("chunks"))
+    least = lambda n: F.floor((F.lit(num) * n + F.lit(den - 1)) / F.lit(den))
+    partner = least(F.col("n"))
+    shared = F.greatest(F.lit(1), F.least(F.floor(partner / 20), least(partner)))
+    return rows, counts.where(F.col("c") >= shared * F.col("chunks")).select("k").checkpoint()
+
+
+def _nodes(docs: DataFrame, rows: DataFrame, passing: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(d, n, tokens) of the passing sets, read again from one document each, so that no set is shuffled.
+
+    A filter picks the documents; the few others that it lets pass are nodes without partners or repeat a node.
+    """
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "h"))
+    chosen = rows.join(passing, "k", "left_semi").groupBy("d").agg(first.alias("one")).select(F.xxhash64("one.id", "one.h").alias("key")).checkpoint()
+    wanted = bloom.may_hold(bloom.members(chosen, chosen.count()))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    source = source.where(wanted(F.xxhash64("id", F.xxhash64("t")))).select("t")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = set()
         for batch in batches:
             for lo, hi, rows, keys in text_sets(batch.column("t"), size):
                 n = np.bincount(rows, minlength=hi - lo)
                 heads = np.cumsum(n) - n
-                seen = np.bincount(rows[bloom.contains(twice.value, keys)], minlength=hi - lo)
-                stays = (seen >= _need(n, num, den)) & (n > 0)
-                own = [keys[h : h + m].tobytes() for h, m in zip(heads, n, strict=True)]
-                yield pa.record_batch(
-                    [
-                        batch.column("id").slice(lo, hi - lo),
-                        batch.column("h").slice(lo, hi - lo),
-                        pa.array(n, pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(x) if x else None for x in own], pa.binary()),
-                        pa.array([x if s else None for x, s in zip(own, stays, strict=True)], pa.binary()),
-                    ],
-                    names=["id", "h", "n", "d", "tokens"],
-                )
+                digests = _digests(keys, heads, n)
+                fresh = [i for i, d in enumerate(digests) if d and d not in known and not known.add(d)]
+                own = [keys[heads[i] : heads[i] + n[i]].tobytes() for i in fresh]
+                yield pa.record_batch([pa.array([digests[i] for i in fresh], pa.binary()), pa.array(n[fresh], pa.int64()), pa.array(own, pa.binary())], names=["d", "n", "tokens"])
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
-    schema = source.selectExpr("id", "h", "0L as n", "cast(null as binary) as d", "cast(null as binary) as tokens").schema
-    return source.mapInArrow(sets, schema)
+    return source.mapInArrow(sets, "d binary, n long, tokens binary").checkpoint()
 
 
 def _postings(nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -140,8 +262,11 @@ def _overlap(x: bytes, y: bytes) -> int:
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    sets = nodes.select("d", "tokens")
+    """The pairs (a, b) whose sets are similar enough. Only sets of such pairs are moved."""
+    pairs = pairs.checkpoint()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct().select(F.xxhash64("d").alias("key")).checkpoint()
+    asked = bloom.may_hold(bloom.members(ends, ends.count()))
+    sets = nodes.where(asked(F.xxhash64("d"))).select("d", "tokens")
     wide = pairs.join(sets.withColumnsRenamed({"d": "a", "tokens": "x"}), "a").join(sets.withColumnsRenamed({"d": "b", "tokens": "y"}), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,8 +415,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, filter_bits: int) -> DataFrame:
-    rows = _sets(docs, id_col, text_col, size, num, den, filter_bits).checkpoint()
-    nodes = rows.where(F.col("tokens").isNotNull()).groupBy("d").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")).checkpoint()
+    rows, passing = _profiles(docs, id_col, text_col, size, num, den, filter_bits)
+    nodes = _nodes(docs, rows, passing, id_col, text_col, size)
     postings = _postings(nodes, num, den).checkpoint()
 
     hubs = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.max(F.struct("score", "d", "n")).alias("hub")).where(F.col("df") > 1)
@@ -307,9 +432,10 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, d
     links = links.unionByName(found.where("sure").select("a", "b")).unionByName(more)
     classes = components(links)
 
-    named = nodes.select(F.col("d").alias("node"), "id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = named.join(lowest, "root").select(F.col("node").alias("d"), "component_id")
+    lows = rows.where(F.col("d").isNotNull()).groupBy("d").agg(F.min("id").alias("low"))
+    lowest = classes.join(lows.withColumnRenamed("d", "node"), "node").groupBy("root").agg(F.min("low").alias("component_id"))
+    linked = classes.join(lowest, "root").select(F.col("node").alias("d"), "component_id")
+    named = lows.join(linked, "d", "left").select("d", F.coalesce("component_id", "low").alias("component_id"))
     result = rows.select("id", "h", "n", "d").join(named, "d", "left")
     component = F.coalesce("component_id", "id").alias("component_id")
     return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component, F.col("d").alias("set_digest"), F.col("h").alias("text_hash"))
@@ -329,11 +455,16 @@ def without_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = member.join(best, F.col("m0").eqNullSafe(F.col("c0")) & F.col("m1").eqNullSafe(F.col("c1")))
     copies = grouped.select("__id", "__h").distinct()
     losers = copies.join(best.select("id", "h"), F.col("__id").eqNullSafe(F.col("id")) & (F.col("__h") == F.col("h")), "left_anti")
-    keyed = docs.withColumn("__own", F.xxhash64(text_col))
-    kept = keyed.join(losers, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__h")), "left_anti")
     repeated = rows.groupBy("__id", F.col("text_hash").alias("__h")).count().where(F.col("count") > 1).select("__id", "__h").checkpoint()
-    if repeated.limit(1).count():
-        same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__h"))
+    losers = losers.select("__id", "__h").checkpoint()
+    # Texts are many times larger than these lists: only rows that a list may name take part in the joins.
+    listed = losers.unionByName(repeated).select(F.xxhash64("__id", "__h").alias("key")).checkpoint()
+    named = bloom.may_hold(bloom.members(listed, listed.count()))(F.xxhash64(id_col, F.xxhash64(text_col)))
+    marked = docs.withColumn("__named", named)
+    own = marked.where("__named").withColumn("__own", F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__h"))
+    kept = own.join(losers, same, "left_anti")
+    if not repeated.isEmpty():
         once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, "__own"])
         kept = kept.join(repeated, same, "left_anti").unionByName(once)
-    return kept.select(*docs.columns)
+    return marked.where(~F.col("__named")).select(*docs.columns).unionByName(kept.select(*docs.columns))
