@@ -84,12 +84,15 @@ def mix_sources(docs: DataFrame, source_col: str = "source", id_col: str = "doc_
     buckets = max(1, -(-rows // BUCKET_ROWS))
     value = F.conv(F.substring("__mark", 1, 8), 16, 10).cast("long")
     keyed = keyed.withColumn("__bucket", F.floor(value * F.lit(buckets) / F.lit(1 << 32)).cast("int"))
-    sizes = keyed.groupBy(F.col(source_col).alias("source"), "__bucket").agg(F.count(F.lit(1)).alias("n"))
-    ahead = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.withColumn("ahead", ahead).select(F.col("source").alias("__s"), F.col("__bucket").alias("__b"), "ahead")
-    within = F.row_number().over(Window.partitionBy(source_col, "__bucket").orderBy("__mark", F.col(id_col).asc_nulls_first())) - 1
-    placed = keyed.withColumn("__r", within).join(offsets, F.col(source_col).eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b")))
-    placed = placed.withColumn("__i", F.col("ahead") + F.col("__r")).drop("__s", "__b", "ahead", "__r", "__bucket", "__mark")
+    # Keys without nulls, the same for window and join, so that whole rows are dealt once.
+    keyed = keyed.withColumns({"__none": F.col(source_col).isNull(), "__name": F.coalesce(F.col(source_col).cast("string"), F.lit(""))})
+    keys = ["__none", "__name", "__bucket"]
+    sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    ahead = F.coalesce(F.sum("n").over(Window.partitionBy("__none", "__name").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.withColumn("ahead", ahead).drop("n")
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy("__mark", F.col(id_col).asc_nulls_first())) - 1
+    placed = keyed.withColumn("__r", within).join(offsets, keys)
+    placed = placed.withColumn("__i", F.col("ahead") + F.col("__r")).drop(*keys, "ahead", "__r", "__mark")
     slots_of = sources.select(F.col("source").alias("__s"), F.col("k").alias("__k"), F.col("share").alias("__share"))
     placed = placed.join(F.broadcast(slots_of), F.col(source_col).eqNullSafe(F.col("__s")))
     placed = placed.withColumn("block", F.floor(F.col("__i") / F.lit(block_rows)).cast("long"))
