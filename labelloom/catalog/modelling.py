@@ -413,8 +413,7 @@ def _near_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("near_duplicate_candidates")
 def near_duplicate_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    profiled = neardup.profile(_near_rows(spark, sf), 0.9)
-    return neardup.candidate_pairs(profiled, profiled, 0.9)
+    return neardup.candidate_pairs(neardup.profile(_near_rows(spark, sf), 0.9).checkpoint(), 0.9)
 
 
 @query("near_duplicate_rows")
