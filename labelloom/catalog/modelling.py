@@ -10,6 +10,7 @@ from labelloom.catalog.curation import SPLIT_SQL, pools, REGIONS
 from labelloom.catalog.registry import query
 from labelloom.config import LABELS, QualitySpec
 from labelloom.functions.numeric import all_probabilities_line, argmax_label, ranked_labels, softmax, top_lines
+from labelloom.functions.similarity import long_from, long_gram, short_gram
 from labelloom.operators import candidates, features, linear, metrics, neardup, ranking, split
 from labelloom.plans import analysis, curate, train
 from labelloom.session import small_window
@@ -411,8 +412,42 @@ def _near_rows(spark: SparkSession, sf: str) -> DataFrame:
     return curate.exact_unique(curate.normalized(b.turns(spark, sf)), QualitySpec().min_words)
 
 
-@query("near_duplicate_candidates")
+def _sql_candidates(source: str, threshold: float = 0.9) -> str:
+    """Pairs within the length bound that share as many numbered q-grams as the ratio needs."""
+    border, long, short = long_from(threshold), long_gram(threshold), short_gram(threshold)
+    return f"""
+WITH base AS (SELECT label, ord, {b.sql_normal('text')} AS t FROM ({source})),
+u AS (SELECT label, t, min(ord) AS ord, length(t) AS n FROM base WHERE len(string_split(t, ' ')) >= {QualitySpec().min_words} GROUP BY label, t),
+s AS (SELECT * FROM u, (VALUES ({long}), ({short})) AS v(q)
+      WHERE (q = {long} AND n >= {border}) OR (q = {short} AND n * {threshold} < {border} * (2 - {threshold}))),
+p AS (SELECT label, ord, n, q, substr(t, i, q) AS gram FROM (SELECT *, unnest(range(1, n - q + 2)) AS i FROM s)),
+g AS (SELECT *, row_number() OVER (PARTITION BY ord, q, gram) AS k FROM p)
+SELECT y.ord AS later, x.ord AS earlier
+FROM g y JOIN g x ON y.label = x.label AND y.q = x.q AND y.gram = x.gram AND y.k = x.k AND x.ord < y.ord
+  AND 2 * least(x.n, y.n) >= {threshold} * (x.n + y.n) - 1e-9 AND y.q = CASE WHEN least(x.n, y.n) >= {border} THEN {long} ELSE {short} END
+GROUP BY y.ord, x.ord
+HAVING count(*) >= any_value(((2 * y.q - 1) * {threshold} / 2 - (y.q - 1)) * (x.n + y.n) - (y.q - 1)) - 1e-9"""
+
+
+def _near_documents(spark: SparkSession, sf: str, label: str) -> DataFrame:
+    docs = b.read(spark, sf, "documents").select("text", F.col(label).alias("label"), F.col("doc_id").alias("ord"))
+    return curate.exact_unique(curate.normalized(docs), QualitySpec().min_words)
+
+
+@query("near_duplicate_document_candidates", _sql_candidates(b.SQL_DOCUMENTS))
+def near_duplicate_document_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.candidate_pairs(neardup.profile(_near_documents(spark, sf, "source"), 0.9).checkpoint(), 0.9)
+
+
+@query("near_duplicate_documents")
+def near_duplicate_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that copy an earlier one of their language. The matcher's ratio has no SQL form; tests scan in order."""
+    return neardup.near_duplicates(_near_documents(spark, sf, "lang"), 0.9)
+
+
+@query("near_duplicate_candidates", _sql_candidates(b.SQL_TURNS))
 def near_duplicate_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """All turns: q follows from the threshold, 4 at 0.9 and 2 for short texts."""
     return neardup.candidate_pairs(neardup.profile(_near_rows(spark, sf), 0.9).checkpoint(), 0.9)
 
 
