@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pathlib import PurePosixPath
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from labelloom.config import ANNOTATION_COLUMNS, NA_TOKENS, MappingSpec
 from labelloom.functions.text import strip
 from labelloom.operators.checks import require_columns, require_rows
 from labelloom.session import small_table
+from labelloom.sources.records import csv_records
 
 LABELLED = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.StringType())])
 
@@ -55,7 +56,8 @@ def read_csv(
 
     Quoted cells may hold commas, quotes and line breaks. Without a schema every column is text,
     named by the header. Cells spelling a missing value become null, as dataframe readers do.
-    ``order`` adds a column (file, position) that sorts rows as they stand in the files.
+    A large file is read by many tasks (see ``records``). ``order`` adds a column that sorts rows as they stand in
+    the files, and the files as they are listed.
     """
     parts = [paths] if isinstance(paths, str) else list(paths)
     for path in parts:
@@ -67,24 +69,19 @@ def read_csv(
     for other in parts[1:]:
         if _header(spark, other) != names:
             raise ValueError(f"part {other} has different columns than {parts[0]}")
-    as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = (
-        spark.read.schema(as_text)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(parts)
+    cells = F.from_csv(
+        "record", ", ".join(f"c{i} string" for i in range(len(names))),
+        {"multiLine": "true", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"},
     )
+    raw = csv_records(spark, parts).select(F.struct("place", "start", "no").alias("_at"), cells.alias("_cells"))
     types = {f.name: f.dataType for f in schema} if schema else {}
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position")
-    )
-    missing = lambda n: F.col(n).isin(*na_tokens) if na_tokens else F.lit(False)
-    return raw.select(
-        *[F.when(~missing(n), F.col(n)).cast(types.get(n, T.StringType())).alias(n) for n in names],
-        *([position.alias(order)] if order else []),
-    )
+
+    def cell(i: int, name: str) -> Column:
+        value = F.col(f"_cells.c{i}")
+        given = F.when(~value.isin(*na_tokens), value) if na_tokens else value
+        return given.cast(types.get(name, T.StringType())).alias(name)
+
+    return raw.select(*[cell(i, n) for i, n in enumerate(names)], *([F.col("_at").alias(order)] if order else []))
 
 
 def read_labelled_csv(spark: SparkSession, path: str, **options) -> DataFrame:
