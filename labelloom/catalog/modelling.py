@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from labelloom.functions.numeric import all_probabilities_line, argmax_label, ra
 from labelloom.functions.similarity import long_from, long_gram, short_gram
 from labelloom.operators import candidates, features, linear, metrics, neardup, ranking, split
 from labelloom.plans import analysis, curate, train
-from labelloom.session import small_window
+from labelloom.session import small_table, small_window
 from labelloom.streaming import score
 
 PRED = f"WITH {b.SQL_PREDICTIONS}"
@@ -406,6 +407,44 @@ def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
+def _judged_stream(spark: SparkSession, sf: str):
+    """All documents as a file stream, judged by the linear model; the finished query and its output folder."""
+    folder = b.scratch(spark, "judged")
+    b.read(spark, sf, "documents").select(F.col("doc_id").alias("comment_id"), "text").write.json(f"{folder}/in")
+    comments = score.comment_stream(spark, f"{folder}/in")
+    model = _linear_model(spark, sf)
+    running = score.start_judging(comments, model, LABELS, _INTERCEPTS, 5000, f"{folder}/out", f"{folder}/log", available_now=True)
+    running.awaitTermination()
+    return running, f"{folder}/out"
+
+
+_FILLED = f"text IS NOT NULL AND {b.sql_strip('text')} <> ''"
+
+
+@query("stream_explanations", f"""{_EXPLAINED}
+SELECT doc_id AS comment_id, 'scored' AS status, best.label AS predicted_label, pos, term AS feature, round_even(score, 9) AS score
+FROM best JOIN (SELECT doc_id FROM documents WHERE {_FILLED}) USING (doc_id) LEFT JOIN parts USING (doc_id)
+UNION ALL SELECT doc_id, 'rejected', NULL, NULL, NULL, NULL FROM documents WHERE NOT coalesce({_FILLED}, FALSE)""")
+def stream_explanations(spark: SparkSession, sf: str) -> DataFrame:
+    """Label and contributions of every streamed document, blank ones as rejects, read back from the sink."""
+    _, folder = _judged_stream(spark, sf)
+    found = spark.read.parquet(folder).select("comment_id", "status", "predicted_label", F.posexplode_outer("contributions").alias("i", "e"))
+    return _rounded(found.select(
+        "comment_id", "status", "predicted_label", (F.col("i") + 1).alias("pos"),
+        F.col("e.feature").alias("feature"), F.col("e.score").alias("score"),
+    ))
+
+
+@query("stream_counts", f"""
+SELECT counter, n FROM (SELECT count(*) AS input, count(*) FILTER ({_FILLED}) AS scored,
+  count(*) - count(*) FILTER ({_FILLED}) AS rejected FROM documents) UNPIVOT (n FOR counter IN (input, scored, rejected))""")
+def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the streaming job counted of its own rows."""
+    running, _ = _judged_stream(spark, sf)
+    counts = score.counts_of(running)
+    return small_table(spark, {"counter": list(counts), "n": list(counts.values())}, {"n": pa.int64()})
+
+
 # --- near-duplicates -----------------------------------------------------------------------------
 
 def _near_rows(spark: SparkSession, sf: str) -> DataFrame:

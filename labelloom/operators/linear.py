@@ -63,11 +63,23 @@ def explain(
     if top_n <= 0:
         raise ValueError("top_n must be positive")
     known = known_terms(model, max_features, "idf", "coefs")
+    chosen = _chosen(df.select(key, "terms"), known, intercepts)
+    return chosen.select(key, _label(labels).alias("predicted_label"), _contributions(known, labels, top_n).alias("contributions"))
+
+
+def _chosen(df: DataFrame, known: list[Row], intercepts: Sequence[float]) -> DataFrame:
+    """Adds weights, logits and ``at``, the place of the largest logit, to a table with ``terms``."""
+    scored = held(with_weights(df, known), logits=_logits(_coefficients(known, len(intercepts)), intercepts))
+    return held(scored, at=F.array_position("logits", F.array_max("logits")).cast("int") - 1)
+
+
+def _label(labels: Sequence[str]) -> Column:
+    return F.get(F.array(*[F.lit(label) for label in labels]), F.col("at"))
+
+
+def _contributions(known: list[Row], labels: Sequence[str], top_n: int) -> Column:
     names = constants([r["term"] for r in known] or [""])
     coefficients = _coefficients(known, len(labels))
-    weighted = with_weights(df.select(key, "terms"), known)
-    scored = held(weighted, logits=_logits(coefficients, intercepts))
-    chosen = held(scored, at=F.array_position("logits", F.array_max("logits")).cast("int") - 1)
 
     def entry(e: Column) -> Column:
         # Sorts by falling score, then by term: terms are numbered in their order.
@@ -76,13 +88,26 @@ def explain(
 
     positive = F.filter(F.transform("weights", entry), lambda e: e["score"] > 0)
     best = F.slice(F.sort_array(positive), 1, top_n)
-    labelled = F.array(*[F.lit(label) for label in labels])
-    return chosen.select(
-        key,
-        F.get(labelled, F.col("at")).alias("predicted_label"),
-        F.transform(best, lambda e: F.struct(F.get(names, e["i"]).alias("feature"), e["score"].alias("score"))).alias(
-            "contributions"
-        ),
+    return F.transform(best, lambda e: F.struct(F.get(names, e["i"]).alias("feature"), e["score"].alias("score")))
+
+
+def judged(
+    df: DataFrame, model: DataFrame, labels: Sequence[str], intercepts: Sequence[float], max_features: int, top_n: int = 5
+) -> DataFrame:
+    """Adds predicted_label, probabilities, scored and contributions to every row of a table with ``terms``.
+
+    One projection without state, key or shuffle, so it works on streams. ``terms`` is dropped; rows without any
+    known term are judged by the intercepts and have no contributions.
+    """
+    if top_n <= 0:
+        raise ValueError("top_n must be positive")
+    known = known_terms(model, max_features, "idf", "coefs")
+    chosen = held(_chosen(df, known, intercepts), probabilities=softmax(F.col("logits")))
+    return (
+        chosen.withColumn("predicted_label", _label(labels))
+        .withColumn("scored", ranked_labels(F.col("probabilities"), labels))
+        .withColumn("contributions", _contributions(known, labels, top_n))
+        .drop("terms", "weights", "logits", "at")
     )
 
 

@@ -141,6 +141,27 @@ def test_stream_equals_batch(spark, classifier, tmp_path, explained):
     assert streamed.count() == 3
 
 
+def test_judged_stream_holds_rejects_and_counts(spark, classifier, tmp_path):
+    data = [(1, "so happy today"), (2, "  "), (3, None), (4, "dark and scared"), (5, "unknownword"), (6, "")]
+    df = spark.createDataFrame(data, "comment_id long, text string")
+    for part in (df.where("comment_id < 3"), df.where("comment_id >= 3")):
+        part.coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    model, intercepts = classifier.weight_table(spark)
+    given = (model, classifier.labels, intercepts, 50)
+    stream = score.comment_stream(spark, str(tmp_path / "in"))
+    query = score.start_judging(stream, *given, str(tmp_path / "out"), str(tmp_path / "log"), available_now=True)
+    query.awaitTermination()
+    batch = score.judge_comments(df, *given)
+    columns = ["comment_id", "status", "predicted_label", "top", "all_probabilities", "contributions", "contribution_lines"]
+    assert rows(spark.read.parquet(str(tmp_path / "out")), *columns) == rows(batch, *columns)
+    assert spark.read.parquet(str(tmp_path / "out" / "status=rejected")).count() == 3
+    assert score.counts_of(query) == {"input": 6, "scored": 3, "rejected": 3}
+    assert "Exchange" not in batch._jdf.queryExecution().executedPlan().toString()
+    by_model = {r.comment_id: r for r in score.score_comments(classifier, df).collect()}
+    for r in batch.where("status = 'scored'").collect():
+        assert (r.predicted_label, r.all_probabilities) == (by_model[r.comment_id].predicted_label, by_model[r.comment_id].all_probabilities)
+
+
 def test_probes(spark, classifier):
     from labelloom.sources.readers import probe_table
 
