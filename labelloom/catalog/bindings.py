@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +14,16 @@ from labelloom.plans.prepare import prepared_table
 from labelloom.session import ensure_checkpoint_dir, widened
 
 # Source labels src0..src19 of the documents stand in for the annotators' labels.
-DOCUMENT_MAPPING = MappingSpec.build(
-    {
-        "src0": "anger", "src1": "anger", "src2": "anger", "src3": "anger",
-        "src4": "fear", "src5": "fear",
-        "src6": "joy", "src7": "joy", "src8": "joy", "src9": "joy", "src10": "joy",
-        "src11": "sadness", "src12": "sadness", "src13": "sadness", "src14": "sadness",
-        "src15": "surprise",
-        "src16": "neutral",
-    },
-    ["src17", "src18"],
-)
+_ACCEPTED = {
+    "src0": "anger", "src1": "anger", "src2": "anger", "src3": "anger",
+    "src4": "fear", "src5": "fear",
+    "src6": "joy", "src7": "joy", "src8": "joy", "src9": "joy", "src10": "joy",
+    "src11": "sadness", "src12": "sadness", "src13": "sadness", "src14": "sadness",
+    "src15": "surprise",
+    "src16": "neutral",
+}
+DOCUMENT_MAPPING = MappingSpec.build(_ACCEPTED, ["src17", "src18"])
+EXCLUDING_MAPPING = MappingSpec.build(_ACCEPTED, ["src17", "src18"], ["src3", "src15"])
 TURN_MAPPING = MappingSpec.build({"user": "joy", "assistant": "neutral"}, ["system"])
 SEED = 42
 
@@ -202,16 +200,8 @@ logits AS (
   FROM embeddings)"""
 
 
-@cache
-def _fitted(spark: SparkSession, sf: str):
+def fitted(spark: SparkSession, sf: str):
+    """Classifier trained on the prepared documents. Every query trains its own, so none depends on another."""
     from labelloom.plans.train import train_and_evaluate
 
-    table = prepared(spark, sf).persist()
-    result = train_and_evaluate(table, "ord", keep=["ord"])
-    table.unpersist()
-    return result
-
-
-def fitted(spark: SparkSession, sf: str):
-    """Classifier trained on the prepared documents; fitted once per session and folder."""
-    return _fitted(spark, sf)
+    return train_and_evaluate(prepared(spark, sf), "ord", keep=["ord"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
@@ -234,6 +234,28 @@ def prepare_from_annotations(spark: SparkSession, sf: str) -> DataFrame:
     return prepare.prepared_table(mapping.annotate_labels(folded, spec), "ord")
 
 
+def _flat(c: str) -> Column:
+    entry = lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
+    return F.array_join(F.transform(F.sort_array(F.map_entries(c)), entry), ",").alias(c)
+
+
+@query("mapping_audit_excluded", f"""WITH {b.sql_annotated("prep", b.EXCLUDING_MAPPING, b.SQL_DOCUMENTS)}
+SELECT count(*) AS input_rows, count(mapped_label) AS mapped_rows, count(drop_reason) AS dropped_rows,
+  (SELECT string_agg(source_label || '=' || n, ',' ORDER BY source_label)
+   FROM (SELECT source_label, count(*) n FROM prep_annotated WHERE drop_reason IS NOT NULL GROUP BY 1)) AS dropped_label_counts,
+  (SELECT string_agg(source_label, ',' ORDER BY source_label) FROM prep_map WHERE action = 'drop') AS configured_dropped_labels,
+  'src15,src3' AS runtime_excluded_labels
+FROM prep_annotated""")
+def mapping_audit_excluded(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit with two mapped labels excluded for this run: they count as configured drops."""
+    counts = mapping.label_counts(mapping.annotate_labels(b.documents(spark, sf), b.EXCLUDING_MAPPING))
+    joined = lambda c: F.array_join(F.sort_array(c), ",").alias(c)
+    return mapping.mapping_audit(counts, b.EXCLUDING_MAPPING).select(
+        "input_rows", "mapped_rows", "dropped_rows", _flat("dropped_label_counts"),
+        joined("configured_dropped_labels"), joined("runtime_excluded_labels"),
+    )
+
+
 @query("mapping_audit", f"""{PREP}
 SELECT count(*) AS input_rows, count(mapped_label) AS mapped_rows, count(drop_reason) AS dropped_rows,
   round_even(count(drop_reason) / count(*) * 100, 2) AS dropped_percentage,
@@ -253,9 +275,6 @@ SELECT count(*) AS input_rows, count(mapped_label) AS mapped_rows, count(drop_re
 FROM prep_annotated""")
 def mapping_audit(spark: SparkSession, sf: str) -> DataFrame:
     audit = mapping.mapping_audit(mapping.label_counts(b.annotated(spark, sf)), b.DOCUMENT_MAPPING)
-    flat = lambda c: F.array_join(
-        F.transform(F.sort_array(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ","
-    ).alias(c)
     sources = F.array_join(
         F.transform(
             F.map_entries("source_labels_by_target"),
@@ -264,7 +283,7 @@ def mapping_audit(spark: SparkSession, sf: str) -> DataFrame:
     )
     return audit.select(
         "input_rows", "mapped_rows", "dropped_rows", "dropped_percentage",
-        flat("original_label_counts"), flat("mapped_label_counts"), flat("dropped_label_counts"),
+        _flat("original_label_counts"), _flat("mapped_label_counts"), _flat("dropped_label_counts"),
         F.array_join("unknown_labels", ",").alias("unknown_labels"),
         F.array_join("configured_dropped_labels", ",").alias("configured_dropped_labels"),
         sources.alias("source_labels_by_target"),
@@ -465,19 +484,17 @@ def merge_distributions(spark: SparkSession, sf: str) -> DataFrame:
     return distribution.merge_distributions(merge.merged_table(_both(spark, sf)))
 
 
-@query("merge_summary", f"""{MERGED}
+@query("merge_summary", f"""{MERGED}, {b.SQL_LABELS}
 SELECT (SELECT count(*) FROM merged) AS total_rows,
        (SELECT count(*) FROM both_sources) - (SELECT count(*) FROM merged) AS duplicate_rows_removed,
-       (SELECT count(*) FROM merged WHERE label = 'joy') AS joy_rows,
-       (SELECT count(*) FROM merged WHERE data_source = 'curated_additional') AS additional_rows""")
+       (SELECT string_agg(label || '=' || n, ',' ORDER BY label)
+        FROM (SELECT label, count(m.text) AS n FROM dim LEFT JOIN merged m USING (label) GROUP BY 1)) AS label_counts,
+       (SELECT string_agg(data_source || '=' || n, ',' ORDER BY data_source)
+        FROM (SELECT data_source, count(*) AS n FROM merged GROUP BY 1)) AS data_source_counts""")
 def merge_summary(spark: SparkSession, sf: str) -> DataFrame:
     both = _both(spark, sf)
     summary = merge.merge_summary(both, merge.merged_table(both))
-    return summary.select(
-        "total_rows", "duplicate_rows_removed",
-        F.col("label_counts")["joy"].alias("joy_rows"),
-        F.col("data_source_counts")["curated_additional"].alias("additional_rows"),
-    )
+    return summary.select("total_rows", "duplicate_rows_removed", _flat("label_counts"), _flat("data_source_counts"))
 
 
 @query("merge_shuffle", f"""{MERGED}

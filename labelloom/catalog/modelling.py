@@ -15,6 +15,7 @@ from labelloom.functions.similarity import long_from, long_gram, short_gram
 from labelloom.operators import candidates, features, linear, metrics, neardup, ranking, split
 from labelloom.plans import analysis, curate, train
 from labelloom.session import small_table, small_window
+from labelloom.sources import writers
 from labelloom.streaming import score
 
 PRED = f"WITH {b.SQL_PREDICTIONS}"
@@ -73,6 +74,36 @@ def per_class_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(metrics.per_class(_pairs(spark, sf), _GIVEN))
 
 
+@query("metrics_by_source", f"""{PRED}, {b.SQL_LABELS},
+paired AS (SELECT prep.source_label AS source, true_label, predicted_label FROM predictions JOIN prep USING (ord)
+  UNION ALL SELECT NULL, true_label, predicted_label FROM predictions),
+sources AS (SELECT DISTINCT source FROM paired),
+counted AS (SELECT s.source, d.label,
+    count(*) FILTER (p.true_label = d.label) AS support, count(*) FILTER (p.predicted_label = d.label) AS predicted,
+    count(*) FILTER (p.true_label = d.label AND p.predicted_label = d.label) AS hits,
+    avg((p.true_label = p.predicted_label)::INT) AS accuracy
+  FROM sources s CROSS JOIN dim d JOIN paired p ON p.source IS NOT DISTINCT FROM s.source GROUP BY 1, 2),
+shares AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0 ELSE hits::DOUBLE / predicted END AS precision,
+    CASE WHEN support = 0 THEN 0.0 ELSE hits::DOUBLE / support END AS recall FROM counted)
+SELECT source, label, round_even(precision, 9) AS precision, round_even(recall, 9) AS recall,
+  round_even(CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END, 9) AS f1,
+  support, round_even(accuracy, 9) AS accuracy FROM shares""")
+def metrics_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    named = b.predictions(spark, sf).join(b.prepared(spark, sf).select("ord", "source_label"), "ord")
+    return _rounded(metrics.per_source(named, "source_label", LABELS))
+
+
+@query("saved_headlines", f"""{GIVEN}, one AS ({_SUMMARY.strip()})
+SELECT metric, value FROM (SELECT accuracy, macro_precision, macro_recall, macro_f1, weighted_f1,
+  0.0::DOUBLE AS validation_macro_f1 FROM one)
+UNPIVOT (value FOR metric IN (accuracy, macro_precision, macro_recall, macro_f1, weighted_f1, validation_macro_f1))""")
+def saved_headlines(spark: SparkSession, sf: str) -> DataFrame:
+    """Headlines of a report that was written and read back; it has no validation part, which reads 0."""
+    folder = b.scratch(spark, "metrics")
+    writers.write_report(metrics.nested_report(_pairs(spark, sf), _GIVEN), folder)
+    return _rounded(train.headline_metrics(spark, folder))
+
+
 @query("metrics_summary_given_labels", f"{GIVEN} {_SUMMARY}")
 def metrics_summary_given_labels(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(metrics.summary(_pairs(spark, sf), _GIVEN))

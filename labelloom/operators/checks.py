@@ -1,10 +1,10 @@
-"""Constraints. Each has a table form; the raising forms look at a bounded number of offenders."""
+"""Constraints. Each has a table form with all offenders; the raising forms name some and say how many there are."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.config import LABELS, MappingSpec
@@ -13,6 +13,15 @@ from labelloom.session import label_table, small_table
 SHOWN = 100
 
 
+def _listed(offenders: DataFrame, order: Sequence[str], text: Callable[[Row], str]) -> str | None:
+    """The first SHOWN offenders as text, with the full count where there are more; None without any."""
+    found = offenders.orderBy(*order).take(SHOWN + 1)
+    if not found:
+        return None
+    more = f", ... ({offenders.count()} in all)" if len(found) > SHOWN else ""
+    return ", ".join(text(r) for r in found[:SHOWN]) + more
+
+
 def missing_columns(present: Iterable[str], required: Iterable[str]) -> list[str]:
     return sorted(set(required).difference(present))
 
@@ -37,9 +46,8 @@ def unsupported_labels(df: DataFrame, label: str, allowed: Sequence[str] = LABEL
 
 
 def require_labels(df: DataFrame, label: str, allowed: Sequence[str] = LABELS) -> DataFrame:
-    found = [r["label"] for r in unsupported_labels(df, label, allowed).orderBy("label").take(SHOWN + 1)]
-    if found:
-        shown = ", ".join(str(v) for v in found[:SHOWN]) + (", ..." if len(found) > SHOWN else "")
+    shown = _listed(unsupported_labels(df, label, allowed), ["label"], lambda r: str(r["label"]))
+    if shown:
         raise ValueError(f"unsupported labels: {shown}; expected: {', '.join(allowed)}")
     return df
 
@@ -63,9 +71,8 @@ def small_classes(df: DataFrame, label: str, minimum: int) -> DataFrame:
 
 
 def require_class_sizes(df: DataFrame, label: str, minimum: int) -> DataFrame:
-    few = small_classes(df, label, minimum).orderBy("count", "label").take(SHOWN)
-    if few:
-        listed = ", ".join(f"{r['label']} ({r['count']})" for r in few)
+    listed = _listed(small_classes(df, label, minimum), ["count", "label"], lambda r: f"{r['label']} ({r['count']})")
+    if listed:
         raise ValueError(f"every label needs at least {minimum} rows; too few: {listed}")
     return df
 
@@ -108,7 +115,7 @@ def label_contract_breaks(left: DataFrame, right: DataFrame) -> DataFrame:
 def require_label_contract(left: DataFrame, right: DataFrame) -> None:
     for side in (left, right):
         require_rows(side, "label dictionary is empty")
-    breaks = label_contract_breaks(left, right).orderBy("label").take(SHOWN)
-    if breaks:
-        listed = ", ".join(f"{r['label']}: {r['left_id']} vs {r['right_id']}" for r in breaks)
+    breaks = label_contract_breaks(left, right)
+    listed = _listed(breaks, ["label"], lambda r: f"{r['label']}: {r['left_id']} vs {r['right_id']}")
+    if listed:
         raise ValueError("label dictionaries disagree: " + listed)

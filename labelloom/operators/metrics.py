@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.numeric import ratio_or_zero, round_even
@@ -104,16 +104,43 @@ def report_table(pairs: DataFrame, labels: Sequence[str] | None = None) -> DataF
 
 
 def nested_report(pairs: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
-    """The same as one nested row for the JSON sink."""
-    entry = F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support")
-    classes = per_class(pairs, labels).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", entry.alias("scores"))))).alias(
-            "classification_report"
-        )
+    """The same as one nested row for the JSON sink; both averages stand among the classes, under their scope."""
+    entry = F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support").alias("scores")
+    rows = report_table(pairs, labels).where("scope <> 'accuracy'").select(F.coalesce("label", "scope").alias("name"), entry)
+    classes = rows.agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "scores")))).alias("classification_report")
     )
     return side_by_side(summary(pairs, labels), classes)
 
 
+def per_source(predictions: DataFrame, source: str, labels: Sequence[str]) -> DataFrame:
+    """(source, label, precision, recall, f1, support, accuracy) for every data source, and with a null source in total.
+
+    The rows are read once: the total is summed up from the counts of the sources. Labels that a source lacks have
+    zeros, a source without a value is listed as ``(none)``.
+    """
+    named = F.coalesce(F.col(source).cast("string"), F.lit("(none)"))
+    counts = predictions.groupBy(named.alias("source"), "true_label", "predicted_label").agg(F.count("*").alias("n"))
+    true, pred, n = F.col("true_label"), F.col("predicted_label"), F.col("n")
+    zero = F.lit(0).cast("long")
+    hits = F.when(true == pred, n).otherwise(zero)
+    sides = F.array(
+        F.struct(true.alias("label"), n.alias("support"), zero.alias("predicted"), hits.alias("hits")),
+        F.struct(pred.alias("label"), zero.alias("support"), n.alias("predicted"), zero.alias("hits")),
+        # Every source has all labels.
+        *[F.struct(F.lit(v).alias("label"), zero.alias("support"), zero.alias("predicted"), zero.alias("hits")) for v in labels],
+    )
+    names = ["support", "predicted", "hits"]
+    tall = counts.select("source", F.inline(sides)).groupBy("source", "label").agg(*[F.sum(c).alias(c) for c in names])
+    both = tall.groupingSets([["source", "label"], ["label"]], "source", "label").agg(*[F.sum(c).alias(c) for c in names])
+    by_source = Window.partitionBy("source")
+    both = both.withColumn("accuracy", ratio_or_zero(F.sum("hits").over(by_source), F.sum("support").over(by_source)))
+    precision, recall = ratio_or_zero(F.col("hits"), F.col("predicted")), ratio_or_zero(F.col("hits"), F.col("support"))
+    rated = both.where(F.col("label").isin(*labels)).withColumns({"precision": precision, "recall": recall})
+    f1 = ratio_or_zero(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    return rated.select("source", "label", "precision", "recall", f1.alias("f1"), "support", "accuracy")
+
+
 def confusion_grid(pairs: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
     """(true_label, predicted_label, n) for every pair of labels, zeros kept."""
     spark = pairs.sparkSession

@@ -179,3 +179,20 @@ def test_flat_and_structured_mapping():
     for bad in ([], {}, {"accepted_mappings": []}, {"accepted_mappings": {}, "dropped_labels": {}}):
         with pytest.raises(ValueError):
             readers.parse_label_mapping(bad)
+
+
+def test_raising_checks_tell_how_many_there_are(spark):
+    from labelloom.operators import checks
+
+    df = spark.range(250).selectExpr("concat('x', id) as label")
+    with pytest.raises(ValueError, match=r"\(250 in all\)"):
+        checks.require_labels(df, "label")
+    with pytest.raises(ValueError, match=r"\(250 in all\)"):
+        checks.require_class_sizes(df, "label", 2)
+
+
+def test_run_configuration_names_all_missing_keys(spark, tmp_path):
+    from labelloom.config import RunConfig
+
+    with pytest.raises(ValueError, match="lacks: .*dataset_path, .*labels, .*random_state, .*test_size"):
+        RunConfig.parse({"min_df": 2})

@@ -141,6 +141,22 @@ def test_stream_equals_batch(spark, classifier, tmp_path, explained):
     assert streamed.count() == 3
 
 
+def test_metrics_by_source(spark):
+    data = [("a", "joy", "joy"), ("a", "fear", "joy"), (None, "fear", "fear"), ("b", "anger", "fear")]
+    df = spark.createDataFrame(data, "data_source string, true_label string, predicted_label string")
+    got = {(r.source, r.label): r for r in metrics.per_source(df, "data_source", ["joy", "fear", "anger"]).collect()}
+    assert len(got) == 4 * 3
+    assert (got["a", "joy"].precision, got["a", "joy"].recall, got["a", "joy"].accuracy) == (0.5, 1.0, 0.5)
+    assert (got["(none)", "fear"].f1, got["(none)", "joy"].support) == (1.0, 0)
+    assert (got[None, "fear"].support, got[None, "fear"].precision, got[None, "anger"].accuracy) == (2, 0.5, 0.5)
+
+
+def test_nested_report_holds_the_averages(spark):
+    report = metrics.nested_report(pairs_of(spark, ["joy", "joy", "fear"], ["joy", "fear", "fear"])).first().classification_report
+    assert set(report) == {"joy", "fear", "macro avg", "weighted avg"}
+    assert report["macro avg"]["precision"] == 0.75 and report["weighted avg"]["support"] == 3
+
+
 def test_judged_stream_holds_rejects_and_counts(spark, classifier, tmp_path):
     data = [(1, "so happy today"), (2, "  "), (3, None), (4, "dark and scared"), (5, "unknownword"), (6, "")]
     df = spark.createDataFrame(data, "comment_id long, text string")
