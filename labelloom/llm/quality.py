@@ -1,8 +1,9 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a small numpy network.
 
-Word vectors come from the whole corpus: every word adds the sparse random index vectors of its neighbours. Words fall
-into a fixed number of slots by shape and hash, so the table of vectors has a fixed size. The network is fitted on a
-bounded sample of labelled rows; its probabilities are calibrated by a temperature on rows it was not fitted on.
+Word vectors come from the whole corpus: every word adds the sparse random index vectors of its neighbours. Words are
+counted over all texts; the most frequent ones have a vector each, the others share a fixed number of hashed ones, so
+the table of vectors has a fixed size. The network is fitted on a bounded sample of labelled rows; its probabilities
+are calibrated by a temperature on rows it was not fitted on.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 
 from labelloom.llm import bloom, textops
 
-SHAPES, HASHES = 7, 1024
-SLOTS = SHAPES * HASHES
+VOCABULARY = 8192  # words with a vector of their own
+TAIL = 2048  # vectors that all other words share by their hash
+SLOTS = VOCABULARY + TAIL
 DIMS = 48
 NONZERO = 2
 WINDOW = 2
@@ -39,25 +41,37 @@ def _kinds() -> np.ndarray:
 _KINDS = _kinds()
 
 
-def word_slots(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(lo, hi, row, slot) of the words of each piece: runs of letters, of digits, or of one sign.
-
-    Shapes: lower case, title, upper case, mixed, digits, sign, and letters that repeat one of the two words before.
-    """
+def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(lo, hi, row, key) of the words of each piece: runs of letters, of digits, or of one sign, by their hashes."""
     data, offsets = textops.text_bytes(column)
     for lo, hi in textops.pieces(offsets, PIECE_BYTES):
         part = data[offsets[lo] : offsets[hi]]
-        kinds = _KINDS[part]
-        row, start, end = textops.runs(kinds, offsets[lo : hi + 1] - offsets[lo])
-        upper = np.r_[0, np.cumsum((part >= 65) & (part <= 90))]
-        lower = np.r_[0, np.cumsum((part >= 97) & (part <= 122))]
-        up, low, kind = upper[end] - upper[start], lower[end] - lower[start], kinds[start] if len(start) else np.zeros(0, np.uint8)
-        title = (up == 1) & (part[start] <= 90 if len(start) else False)
-        shape = np.select([kind > 2, kind == 2, up == 0, title, low == 0], [5, 4, 0, 1, 2], 3)
-        key = textops.span_hashes(part, start, end)
-        for gap in (1, 2):
-            shape[gap:][(kind[gap:] == 1) & (key[gap:] == key[:-gap]) & (row[gap:] == row[:-gap])] = 6
-        yield lo, hi, row, shape * HASHES + (key % np.uint64(HASHES)).astype(np.int64)
+        row, start, end = textops.runs(_KINDS[part], offsets[lo : hi + 1] - offsets[lo])
+        yield lo, hi, row, textops.span_hashes(part, start, end)
+
+
+def vocabulary(docs: DataFrame, text_col: str, size: int = VOCABULARY) -> np.ndarray:
+    """Sorted hashes of the ``size`` most frequent words of all texts, ties by the hash."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, _, key in words(batch.column(0)):
+                found, n = np.unique(key, return_counts=True)
+                yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    counts = docs.select(text_col).mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    return np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
+
+
+def word_slots(column: pa.Array, vocab: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(lo, hi, row, slot) of the words of each piece: the place in the vocabulary, or a shared slot behind it."""
+    for lo, hi, row, key in words(column):
+        slot = VOCABULARY + (key % np.uint64(TAIL)).astype(np.int64)
+        if len(vocab):
+            at = np.minimum(np.searchsorted(vocab, key), len(vocab) - 1)
+            slot = np.where(vocab[at] == key, at, slot)
+        yield lo, hi, row, slot
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -66,14 +80,14 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(DIMS)).astype(np.int64), np.where(h >> np.uint64(63), 1, -1)
 
 
-def word_vectors(docs: DataFrame, text_col: str) -> np.ndarray:
+def word_vectors(docs: DataFrame, text_col: str, vocab: np.ndarray) -> np.ndarray:
     """SLOTS x DIMS vectors: context sums over all texts, squashed and of length 1."""
     position, sign = index_vectors()
 
     def accumulate(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(SLOTS * DIMS)
         for batch in batches:
-            for _, _, row, slot in word_slots(batch.column(0)):
+            for _, _, row, slot in word_slots(batch.column(0), vocab):
                 for gap in range(1, WINDOW + 1):
                     near = row[gap:] == row[:-gap]
                     a, b = slot[gap:][near], slot[:-gap][near]
@@ -91,10 +105,10 @@ def word_vectors(docs: DataFrame, text_col: str) -> np.ndarray:
     return (sums / np.maximum(length, 1) + own / np.sqrt(NONZERO)).astype(np.float32)
 
 
-def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """One row per text: the mean word vector, zero without words, and the share of words of each shape."""
-    out = np.zeros((len(column), DIMS + SHAPES), np.float32)
-    for lo, hi, row, slot in word_slots(column):
+def pooled(column: pa.Array, vectors: np.ndarray, vocab: np.ndarray) -> np.ndarray:
+    """One row per text: the mean vector of its words, zero without words."""
+    out = np.zeros((len(column), DIMS), np.float32)
+    for lo, hi, row, slot in word_slots(column, vocab):
         n = np.bincount(row, minlength=hi - lo)
         full = np.flatnonzero(n)
         if len(full):
@@ -102,9 +116,7 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
             for at in range(0, len(full), 64):  # bounded memory: the vectors of some texts at a time
                 some = full[at : at + 64]
                 first, last = heads[at], heads[at + len(some) - 1] + n[some[-1]]
-                out[lo + some, :DIMS] = np.add.reduceat(vectors[slot[first:last]], heads[at : at + len(some)] - first, axis=0) / n[some, None]
-            share = np.bincount(row * SHAPES + slot // HASHES, minlength=(hi - lo) * SHAPES).reshape(-1, SHAPES)
-            out[lo + full, DIMS:] = share[full] / n[full, None]
+                out[lo + some] = np.add.reduceat(vectors[slot[first:last]], heads[at : at + len(some)] - first, axis=0) / n[some, None]
     return out
 
 
@@ -165,27 +177,28 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     spark = docs.sparkSession
     docs = docs.drop("score", "predicted")
-    vectors = spark.sparkContext.broadcast(word_vectors(docs, text_col))
+    vocab = vocabulary(docs, text_col)
+    vectors = spark.sparkContext.broadcast(word_vectors(docs, text_col, vocab))
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("id").isNotNull())
     sample = marked.orderBy(F.xxhash64("id"), "id", "y").limit(fit_rows)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = pooled(batch.column("t"), vectors.value)
+            x = pooled(batch.column("t"), vectors.value, vocab)
             yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("y"), batch.column("o")], names=["x", "y", "o"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     # The sample has fit_rows rows at most, so it may be broadcast.
     labelled = texts.join(F.broadcast(sample), "id").select("t", "y", F.xxhash64("id", "t").alias("o"))
     rows = labelled.mapInArrow(features, "x binary, y int, o long").orderBy("o", "x", "y").limit(fit_rows).collect()
-    x = np.frombuffer(b"".join(bytes(r.x) for r in rows), np.float32).reshape(-1, DIMS + SHAPES).astype(np.float64)
+    x = np.frombuffer(b"".join(bytes(r.x) for r in rows), np.float32).reshape(-1, DIMS).astype(np.float64)
     network = spark.sparkContext.broadcast(fit(x, np.array([r.y for r in rows], np.int64)))
     names = docs.columns
     schema = docs.select(*names, F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = network.value.probabilities(pooled(batch.column(text_col), vectors.value))
+            p = network.value.probabilities(pooled(batch.column(text_col), vectors.value, vocab))
             yield pa.record_batch([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*names, "score", "predicted"])
 
     return docs.mapInArrow(scored, schema)
