@@ -20,12 +20,24 @@ MAX_SOURCES = 2000
 BUCKET_ROWS = 2_000
 
 
-def target_slots(counts: DataFrame, slots: int = ROUND_SLOTS, power: float = POWER) -> DataFrame:
-    """(source, rows, share): slots of a round per source, rows ** power to scale, one at least."""
-    total = Window.partitionBy()
+def target_slots(counts: DataFrame, slots: int = ROUND_SLOTS, power: float = POWER, weights: DataFrame | None = None) -> DataFrame:
+    """(source, rows, share): slots of a round per source in proportion to its weight, one at least.
+
+    Without ``weights`` the weight is rows ** power. A table (source, weight) gives target weights of any scale; rows
+    of one source add up, and a source that it lacks, or whose weight is null, not finite or negative, has weight 0.
+    """
     weight = F.pow(F.col("rows").cast("double"), F.lit(power))
-    share = F.greatest(F.lit(1), F.round(F.lit(slots) * weight / F.sum(weight).over(total), 0).cast("int"))
-    return counts.withColumn("share", share)
+    if weights is not None:
+        given = F.col("weight").cast("double")
+        usable = F.when((given > 0) & (given < float("inf")), given).otherwise(0.0)
+        named = weights.groupBy(F.col("source").alias("__named")).agg(F.sum(usable).alias("__weight"))
+        counts = counts.join(named, F.col("source").eqNullSafe(F.col("__named")), "left").drop("__named")
+        weight = F.coalesce("__weight", F.lit(0.0))
+    total = F.sum(weight).over(Window.partitionBy())
+    part = F.lit(slots) * weight / total
+    part = part if weights is None else F.when(total > 0, part).otherwise(0.0)
+    share = F.greatest(F.lit(1), F.round(part, 0).cast("int"))
+    return counts.withColumn("share", share).drop("__weight")
 
 
 def pattern(shares: DataFrame) -> DataFrame:
@@ -51,10 +63,11 @@ def pattern(shares: DataFrame) -> DataFrame:
     return shares.select(F.posexplode(run).alias("slot", "pick")).select("slot", "pick.k", "pick.nth")
 
 
-def mix_sources(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", seed: int = 0, block_rows: int = BLOCK_ROWS, slots: int = ROUND_SLOTS, power: float = POWER) -> DataFrame:
+def mix_sources(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", seed: int = 0, block_rows: int = BLOCK_ROWS, slots: int = ROUND_SLOTS, power: float = POWER, weights: DataFrame | None = None) -> DataFrame:
     """Add block (long, of the source), slot (long, of the schedule) and position (long, of the mix) to every row.
 
     Rows of a source come in the order of the md5 of seed and id, then id; rows with equal ids are interchangeable.
+    ``weights`` (source, weight) gives the target weights, else they are row counts to ``power``; see target_slots.
     A null source is a source of its own, null ids come first. All rows are placed: once a source has run out, the
     others keep their order and close the gaps. Columns named block, slot or position are replaced, others pass
     unchanged. An empty table stays empty. More than MAX_SOURCES sources raise an error, as a round cannot hold them.
@@ -71,7 +84,7 @@ def mix_sources(docs: DataFrame, source_col: str = "source", id_col: str = "doc_
         return docs.select("*", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("position"))
     # Tables of at most MAX_SOURCES rows, or MAX_SOURCES + slots for the round.
     k = (F.row_number().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_first())) - 1).alias("k")
-    sources = target_slots(counts, slots, power).select("source", "rows", "share", k).checkpoint()
+    sources = target_slots(counts, slots, power, weights).select("source", "rows", "share", k).checkpoint()
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("k", "share", "rows"))), lambda x: x)
     one = sources.agg(ordered.alias("all")).select(F.col("all.share").alias("shares"), F.col("all.rows").alias("sizes"))
     taken = pattern(one.select("shares"))
