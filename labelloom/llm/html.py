@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
-Every node of the page gets the characters per tag below it, adjusted for the characters and tags of links; the node
-whose children have the largest sum of densities leads to the article. The smallest density on the path from the body
-down to that node is the threshold that other branches must reach to be kept.
+Every node of the page gets the characters per tag below it, adjusted for the characters and tags of links. The node
+whose children have the largest sum of densities is the core of the article, and the smallest density on the path from
+the root down to it is the threshold. Beside the path a branch stays if it comes near the threshold; inside the core a
+branch goes if it is marked or made of links and stays below. Marks (class, id, role, a place outside article and main)
+only lower densities, so a page whose whole text is marked keeps it. All steps are linear in the page.
 """
 
 from __future__ import annotations
@@ -10,7 +12,9 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,42 +39,67 @@ NOISE = set(
 # Words for places that may stand beside those in one name (site-footer, nav-left), but mark nothing alone.
 PLACES = set("site page main global top bottom left right primary secondary area block box container wrap wrapper list section slot unit links".split())
 READERS = set("comment comments commentlist disqus reply replies discussion related recommended recommendations".split())
-FOREIGN = ("svg", "math", "object")  # without an end tag they end at once
+FOREIGN = ("svg", "math", "object")
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>|<[!?/][^<>]*>", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 
 
+TEXT_BLOCKS = BLOCK - set("html body address article div header main section".split())
+# What a mark leaves of the density and the counts of an element. Texts of readers count only where nothing else does.
+WEIGHTS = {"": 1.0, "layout": 0.1, "readers": 0.0}
+NEAR = 0.1  # share of the threshold that an unmarked branch beside the path must reach
+
+
 class Node:
-    __slots__ = ("chars", "children", "link_chars", "link_tags", "name", "noise", "parent", "soft", "tags", "total")
+    __slots__ = ("chars", "children", "density", "link_chars", "link_tags", "most", "name", "noise", "parent", "soft", "tags", "total", "weight")
 
-    def __init__(self, name: str, parent: Node | None, noise: bool, soft: str = ""):
-        self.name, self.parent, self.noise, self.soft = name, parent, noise or bool(soft), soft
+    def __init__(self, name: str, parent: Node | None, noise: bool = False, soft: str = ""):
+        self.name, self.parent, self.noise, self.soft = name, parent, noise, soft
         self.children: list[Node | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.total = 0.0
+        self.chars = self.tags = self.link_chars = self.link_tags = self.density = self.total = 0.0
+        self.weight = self.most = 1.0  # what marks leave of the node itself, and of the least marked node below
+
+    def inner(self) -> Iterator[Node]:
+        return (c for c in self.children if isinstance(c, Node) and not c.noise)
+
+
+class Stack:
+    """The open elements of a page, with the places of every name, so that no look-up walks the whole depth."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], defaultdict(list)
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.places[node.name].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def innermost(self, names: Iterable[str]) -> int:
+        """Place of the innermost open element of these names, 0 without one (the root stays open)."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
 
+    def close(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.places[self.nodes.pop().name].pop()
 
-def _noisy(name: str, attributes: str, parent: Node) -> bool:
-    if name in NEVER:
-        return True
-    if name == "header":
-        return not _within(parent, ("article", "main"))
-    if not attributes or name in ("html", "body", "main"):
-        return False
+
+@lru_cache(4096)
+def _hidden(attributes: str) -> bool:
     for key, *values in _NAMED.findall(attributes):
-        value = next((v for v in values if v), "")
-        if key.lower() == "hidden" or (key.lower() == "aria-hidden" and value == "true"):
+        if key.lower() == "hidden" or (key.lower() == "aria-hidden" and "true" in values):
             return True
     return False
 
 
-def _soft(name: str, attributes: str) -> str:
+@lru_cache(4096)
+def _soft(attributes: str) -> str:
     """"layout" or "readers" if a whole name in class, id or role is made of words of NOISE and PLACES, else ""."""
     found = ""
-    if not attributes or name in ("html", "body", "main"):
-        return found
     for key, *values in _NAMED.findall(attributes):
         if key.lower() not in ("class", "id", "role"):
             continue
@@ -81,123 +110,98 @@ def _soft(name: str, attributes: str) -> str:
     return found
 
 
-def _overrule(root: Node) -> None:
-    """Elements that a class or id marks are text after all if they hold more of it than all that is not marked.
-
-    Texts of readers are often longer than the article, so their marks give way only where nothing else has text.
-    """
-
-    def measure(top: Node) -> tuple[int, int, list[Node]]:
-        """Characters outside marked elements, the same with marked layout, and the outermost marked elements."""
-        plain = full = 0
-        marked, todo = [], [(top, False)]
-        while todo:
-            node, inside = todo.pop()
-            for c in node.children:
-                if isinstance(c, str):
-                    full += len(c.strip())
-                    plain += 0 if inside else len(c.strip())
-                elif not c.noise:
-                    todo.append((c, inside))
-                elif c.soft:
-                    if not inside:
-                        marked.append(c)
-                    if c.soft == "layout":
-                        todo.append((c, True))
-        return plain, full, marked
-
-    rest, _, marked = measure(root)
-    while marked:
-        sized = [(measure(n), n) for n in marked if n.soft == "layout" or not rest]
-        best, node = max(sized, key=lambda x: x[0][1], default=((0, 0, []), None))
-        if node is None or best[1] <= rest:
-            return
-        node.noise, rest, marked = False, rest + best[0], best[2]
-
-
-def _within(node: Node | None, names: tuple[str, ...]) -> Node | None:
-    while node is not None and node.name not in names:
-        node = node.parent
-    return node
-
-
-def _foreign_end(name: str, attributes: str, page: str, at: int) -> int:
-    """Where the end tag that balances an element stops, or ``at`` if it is closed by itself or never."""
-    if attributes.endswith("/"):
-        return at
-    depth = 1
-    for tag in re.compile(f"<(/?){name}(?=[\\s/>])[^>]*?(/?)>", re.I).finditer(page, at):
-        depth += -1 if tag[1] else not tag[2]
-        if not depth:
-            return tag.end()
-    return at
+def _foreign_ends(name: str, page: str) -> dict[int, int]:
+    """End of every balanced element of this name, by where its start tag ends. One pass over the page."""
+    ends, started = {}, []
+    for tag in re.finditer(f"<(/?){name}(?=[\\s/>])[^<>]*>", page, re.I):
+        if not tag[1]:
+            if not tag[0].endswith("/>"):
+                started.append(tag.end())
+        elif started:
+            ends[started.pop()] = tag.end()
+    return ends
 
 
 def parse(page: str) -> Node:
     """The page as a tree. Unclosed and stray tags are mended the way browsers do it for paragraphs, lists and tables."""
-    root = Node("html", None, False)
-    here, at = root, 0
+    stack, at = Stack(Node("html", None)), 0
+    foreign: dict[str, dict[int, int]] = {}
     while match := _TAG.search(page, at):
         if match.start() > at:
-            here.children.append(page[at : match.start()])
+            stack.top.children.append(page[at : match.start()])
         at = match.end()
         name = (match[2] or match[5] or "").lower()
-        if not name or name == "html":
+        if not name or name in ("html", "body"):
             continue
         if match[1] or match[4]:
-            target = _within(here, (name,))
-            if target is not None and target.parent is not None:
-                here = target.parent
+            if place := stack.innermost((name,)):
+                stack.close(place)
             continue
         attributes = match[3] or match[6] or ""
-        if name == "body":
-            root.children.append(Node("body", root, False))
-            here = root.children[-1]
-            continue
-        if name in ENDS_PARAGRAPH and (p := _within(here, ("p", "article", "div", "section", "td", "body"))) is not None and p.name == "p":
-            here = p.parent
-        if name in HEADINGS and here.name in HEADINGS:
-            here = here.parent
+        if name in ENDS_PARAGRAPH and (place := stack.innermost(("p", "article", "div", "section", "td"))) and stack.nodes[place].name == "p":
+            stack.close(place)
+        if name in HEADINGS and stack.top.name in HEADINGS:
+            stack.close(len(stack.nodes) - 1)
         if name in CLOSED_BY:
-            stop = _within(here, (*CLOSED_BY[name], "ul", "ol", "dl", "table"))
-            while stop is not None and stop.name in CLOSED_BY[name]:
-                here = stop.parent
-                stop = here if here.name in CLOSED_BY[name] else None
-        if here.name == "head" and name in BLOCK | {"nav", "footer", "aside", "form"}:
-            here = here.parent
-        node = Node(name, here, _noisy(name, attributes, here), _soft(name, attributes))
-        if name in NEVER:
-            node.soft = ""
-        here.children.append(node)
-        if name in RAW:
-            if name in FOREIGN:
-                at = _foreign_end(name, attributes, page, at)
-            else:
-                end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            while (place := stack.innermost((*CLOSED_BY[name], "ul", "ol", "dl", "table"))) and stack.nodes[place].name in CLOSED_BY[name]:
+                stack.close(place)
+        if stack.top.name == "head" and name in ENDS_PARAGRAPH:
+            stack.close(len(stack.nodes) - 1)
+        noise = name in NEVER or (name == "header" and not stack.innermost(("article", "main"))) or (bool(attributes) and _hidden(attributes))
+        node = Node(name, stack.top, noise, _soft(attributes) if attributes and name != "main" else "")
+        stack.top.children.append(node)
+        if name in FOREIGN:  # without a balanced end tag they end at once
+            if name not in foreign:
+                foreign[name] = _foreign_ends(name, page)
+            at = foreign[name].get(at, at)
+        elif name in RAW:
+            end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+            at = end.end() if end else len(page)
         elif name not in VOID and not attributes.endswith("/"):
-            here = node
+            stack.push(node)
     if at < len(page):
-        here.children.append(page[at:])
-    return root
-
+        stack.top.children.append(page[at:])
+    return stack.nodes[0]
 
-def _postorder(root: Node) -> list[Node]:
-    order, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        order.append(node)
-        todo += [c for c in node.children if isinstance(c, Node) and not c.noise]
-    return order[::-1]
 
+def composite_density(node: Node, root: Node) -> float:
+    """Characters per tag, times a logarithm whose base punishes text in links; 0 for text that is all links.
 
-def _density(node: Node, body: Node) -> float:
-    """Composite text density: characters per tag, with a logarithm whose base punishes text in links."""
+    Counts are taken as if the largest weight at or below the node were 1, the result is lowered by it.
+    """
     if not node.chars:
         return 0.0
-    tags, links, plain = max(node.tags, 1), max(node.link_chars, 1), max(node.chars - node.link_chars, 1)
-    base = node.chars / plain * node.link_chars + body.link_chars / max(body.chars, 1) * node.chars + math.e
-    return node.chars / tags * math.log(max(node.chars / links * tags / max(node.link_tags, 1), 1.0)) / math.log(math.log(base) + math.e - 1)
+    chars, link_chars = node.chars / node.most, node.link_chars / node.most
+    tags, links, plain = max(node.tags / node.most, 1.0), max(link_chars, 1.0), max(chars - link_chars, 1.0)
+    base = chars / plain * link_chars + root.link_chars / max(root.chars, 1.0) * chars + math.e
+    ratio = chars / links * tags / max(node.link_tags / node.most, 1.0)
+    return node.most * chars / tags * math.log(max(ratio, 1.0)) / math.log(math.log(base) + math.e - 1)
+
+
+def measure(root: Node) -> list[Node]:
+    """Set counts, density and the sum of the children's densities of all nodes; returns them, children first."""
+    order, todo = [], [root]
+    while todo:
+        order.append(node := todo.pop())
+        todo += node.inner()
+    outside = WEIGHTS["layout"] if any(n.name in ("article", "main") for n in order) else 1.0
+    of = {}  # what the elements around a node leave of it
+    for node in order:
+        above = of[id(node.parent)] if node.parent else outside
+        of[id(node)] = above = above / outside if outside < 1.0 and node.name in ("article", "main") and above == outside else above
+        node.weight = of[id(node)] = above * WEIGHTS[node.soft]
+    order.reverse()
+    for node in order:
+        inner = list(node.inner())
+        node.most = max([node.weight, *[c.most for c in inner]])
+        node.chars = sum(len(c.strip()) for c in node.children if isinstance(c, str)) * node.weight + sum(c.chars for c in inner)
+        node.tags = sum(c.tags + c.weight for c in inner)
+        node.link_chars = node.chars if node.name == "a" else sum(c.link_chars for c in inner)
+        node.link_tags = sum(c.link_tags + (c.weight if c.name == "a" else 0.0) for c in inner)
+    for node in order:
+        node.density = composite_density(node, root)
+        node.total = sum(c.density for c in node.inner())
+    return order
 
 
 def main_text(page: str | None) -> str:
@@ -205,30 +209,16 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    _overrule(root)
-    order = _postorder(root)
-    for node in order:
-        inner = [c for c in node.children if isinstance(c, Node) and not c.noise]
-        node.chars = sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(c.chars for c in inner)
-        node.tags = sum(c.tags + 1 for c in inner)
-        node.link_chars = node.chars if node.name == "a" else sum(c.link_chars for c in inner)
-        node.link_tags = sum(c.link_tags + (c.name == "a") for c in inner)
-    bodies = [n for n in order if n.name == "body"]
-    body = max(bodies, key=lambda n: n.chars) if bodies else root
-    if len(bodies) != 1 or any(isinstance(c, str) and c.strip() for c in root.children):
-        body = root
-    density = {id(n): _density(n, body) for n in order}
-    for node in order:
-        node.total = sum(density[id(c)] for c in node.children if isinstance(c, Node) and not c.noise)
-    inside = [n for n in order if n is body or _below(n, body)]
-    best = max(inside, key=lambda n: (n.total, n.chars))
+    order = measure(root)
+    if not root.chars:  # all text is of readers
+        for node in order:
+            node.soft = ""
+        order = measure(root)
+    best = max(order, key=lambda n: (n.total, n.chars))
     path = [best]
-    while path[-1] is not body:
+    while path[-1] is not root:
         path.append(path[-1].parent)
-    threshold = min(density[id(n)] for n in path)
-    article = [n for n in path if n.name in ("article", "main")]
-    top = article[-1] if article else body
-    # Below the article everything stays; elsewhere a branch off the path has to be as dense as the path.
+    threshold = min(n.density for n in path)
     on_path = {id(n) for n in path}
     blocks: list[str] = []
     line: list[str] = []
@@ -239,39 +229,38 @@ def main_text(page: str | None) -> str:
             blocks.append(text)
         line.clear()
 
-    todo: list[tuple[Node | str | None, bool]] = [(top, bool(article))]
+    def stays(node: Node, inside: bool) -> bool:
+        links = 2 * node.link_chars > node.chars
+        if node.weight < node.parent.weight or links:
+            return node.density >= threshold and node.weight > 0.0 and not (links and not inside)
+        # A paragraph without a mark is judged with its parent, so short ones stay.
+        return inside or node.name in TEXT_BLOCKS or node.density >= NEAR * threshold
+
+    todo: list[tuple[Node | str | None, bool, bool]] = [(root, False, False)]
     while todo:
-        node, sure = todo.pop()
+        node, inside, mute = todo.pop()
         if node is None:
             flush()
         elif isinstance(node, str):
-            line.append(node)
+            if not mute:
+                line.append(node)
+        elif node.name == "br":
+            line.append(" ")
         elif not node.noise:
-            on = id(node) in on_path
-            if not (sure or on) and node.name in BLOCK and (density[id(node)] < threshold or 2 * node.link_chars > node.chars):
-                continue
-            keep = sure or node is best or not on
-            if node.name == "br":
-                line.append(" ")
+            block = node.name in BLOCK
+            if id(node) not in on_path and (block or node.soft) and not stays(node, inside):
                 continue
-            if node.name == "header" and article:
-                kept = [c for c in node.children if isinstance(c, Node) and c.name in HEADINGS]
-            else:
-                kept = node.children
-            if node.name in BLOCK:
+            # Of an article's own header only the headings are text.
+            mute = node.name == "header" or (mute and node.name not in HEADINGS)
+            if block:
                 flush()
-                todo.append((None, True))
-            todo += [(c, keep) for c in reversed(kept)]
+                todo.append((None, True, False))
+            below = inside or node is best or id(node) not in on_path
+            todo += [(c, below, mute) for c in reversed(node.children)]
     flush()
     return "\n\n".join(blocks)
 
 
-def _below(node: Node, top: Node) -> bool:
-    while node is not None and node is not top:
-        node = node.parent
-    return node is top
-
-
 def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Add text (string) and n_chars (long, code points) to every row of ``pages``; see ``main_text``.
 
