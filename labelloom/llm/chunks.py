@@ -1,15 +1,18 @@
 """Substring dedup by content-defined chunking.
 
-A gear rolling hash runs over the words of a text; a cut falls behind every word whose hash is the largest of some
-REACH words in a row, ties included. Any REACH words in a row therefore hold a cut, text that repeats included, and
-cuts depend on nearby words only, so an insertion shifts text without changing the chunks after it. Chunks are compared
+A gear hash rolls over the words of a text, h = (h << 16) + G(word) in 64 bits, so it remembers four words. A chunk ends
+behind a word whose hash has STRONG leading zero bits, unless the word before had WEAK ones (the minimum of two words),
+and behind one with WEAK leading zero bits if none of the REACH words before had them. Where no word out of MOST in a
+row ends a chunk that way, the largest hash of the MOST ends one, ties included (the maximum, also in text that repeats).
+Cuts depend on nearby words only, so an insertion shifts text without changing the chunks after it. Chunks are compared
 by digest: a twice-seen Bloom filter names the suspects, only runs of suspects that could make up a whole passage are
 shuffled, counted exactly, and joined into spans.
 
-Bound: let two texts share a passage of n words, byte for byte. From its GEAR_WORDS-th word on both have the same
-hashes. In the first REACH of these words let c be the last one with their largest hash: both cut there, and cuts behind
-c come from windows that begin behind c, so both have the same until the first largest hash of the last REACH words,
-where both cut again. At the start GEAR_WORDS + REACH - 1 words are lost at most, at the end REACH - 1: 22 together.
+Bound: let two texts share a passage of n words, byte for byte. From word 3 on (the first is 0) both have the same
+hashes, from word 3 + REACH on the same cuts by mask. In the next MOST words let c be the last cut by mask, or without
+one the last largest hash: both texts cut there, and cuts by maximum behind c come from windows that begin behind c, so
+both have the same until the first cut by mask, or else the first largest hash, of the last MOST words, where both cut
+again. At the start 3 + REACH + MOST words are lost at most, at the end MOST - 1: 21 together.
 """
 
 from __future__ import annotations
@@ -24,12 +27,28 @@ from pyspark.sql import functions as F
 from labelloom.llm import bloom, textops
 
 GEAR_WORDS = 4  # words that the gear hash remembers
-REACH = 10  # chunks have 1 to 10 words, about 5 on average
+GEAR_SHIFT = np.uint64(64 // GEAR_WORDS)
+STRONG, WEAK = 3, 2  # leading zero bits of a hash
+REACH = 3  # words that must pass before a weak cut; under GEAR_WORDS, so they never lie in another text
+MOST = 8  # chunks have at most so many words from one text's second cut on
 FILTER_BITS = 28
-MIN_WORDS = 28  # at most 22 words of a passage are lost at its ends, so this finds all of over 50 words
+MIN_WORDS = 28  # at most 21 words of a passage are lost at its ends, so this finds all of over 48 words
 
-# Factors of the last words in the gear hash.
-GEAR = textops.mixed(np.arange(1, GEAR_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+def gear_hashes(hashes: np.ndarray) -> np.ndarray:
+    """h = (h << GEAR_SHIFT) + G(word) behind each word; older words have left the 64 bits."""
+    h = np.zeros(len(hashes), np.uint64)
+    for k in range(min(GEAR_WORDS, len(hashes))):
+        h[k:] += hashes[: len(hashes) - k] << (GEAR_SHIFT * np.uint64(k))
+    return h
+
+
+def _lately(marked: np.ndarray, reach: int) -> np.ndarray:
+    """Whether one of the ``reach`` words before is marked."""
+    out = np.zeros(len(marked), bool)
+    for k in range(1, reach + 1):
+        out[k:] |= marked[:-k]
+    return out
 
 
 def cuts(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -38,23 +57,25 @@ def cuts(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     ends = np.zeros(n, bool)
     if n == 0:
         return ends
+    h = gear_hashes(hashes)
+    whole = np.arange(n) - np.searchsorted(row, row) >= GEAR_WORDS - 1  # else the hash reaches over the start of the text
+    weak = whole & (h >> np.uint64(64 - WEAK) == 0)
+    strong = whole & (h >> np.uint64(64 - STRONG) == 0)
+    masked = (strong & ~_lately(weak, 1)) | (weak & ~_lately(weak, REACH))
+    ends |= masked
     ends[-1] = True
-    ends[:-1] = row[1:] != row[:-1]
-    windows = n - REACH + 1
+    ends[:-1] |= row[1:] != row[:-1]
+    windows = n - MOST + 1
     if windows < 1:
         return ends
-    h = np.zeros(n, np.uint64)
-    for k, factor in enumerate(GEAR):
-        h[k:] += hashes[: n - k] * factor
-    h = textops.mixed(h) | np.uint64(1)
-    place = np.arange(n) - np.searchsorted(row, row)
-    h[place < GEAR_WORDS - 1] = 0  # the hash still reaches over the start of the text
-    best = h[:windows].copy()  # best[i] = max of h[i : i + REACH], in windows that one text holds
-    for k in range(1, REACH):
+    total = np.r_[0, np.cumsum(masked)]
+    bare = (row[:windows] == row[MOST - 1 :]) & (total[MOST:] == total[:windows])
+    h = np.where(whole, h | np.uint64(1), np.uint64(0))
+    best = h[:windows].copy()  # best[i] = max of h[i : i + MOST]
+    for k in range(1, MOST):
         np.maximum(best, h[k : k + windows], out=best)
-    best[row[:windows] != row[REACH - 1 :]] = np.iinfo(np.uint64).max
-    for k in range(REACH):
-        ends[k : k + windows] |= h[k : k + windows] == best
+    for k in range(MOST):
+        ends[k : k + windows] |= bare & (h[k : k + windows] == best)
     return ends
 
 
