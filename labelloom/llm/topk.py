@@ -1,13 +1,16 @@
 """Exact top-k inner products by the three-phase uniform threshold.
 
-A vector is cut into a few stretches of components; each gives a local list of partial scores. Phase 1 takes the best
-entries of every list, resolves their totals and keeps, per query, a total that k candidates reach: a safe cutoff. In
-phase 2 a candidate can only reach the cutoff if one list gives it at least its even share, so only such entries are
-collected. Phase 3 resolves their totals exactly. Equal vectors are one candidate that carries its smallest ids.
+The components of a vector, ordered by their energy, are cut into a few stretches; each gives a local list of partial
+scores, ordered by the stretch's norm. Phase 1 reads the entries of largest norm in every list, resolves the totals of
+the best and keeps, per query, a total that k candidates reach: a safe cutoff. In phase 2 the lists are read one after
+the other: an entry that holds its even share of the cutoff is sufficient, any other needs a later list whose norms
+allow such a share, and both need what is known plus the norms of the unread lists to reach the cutoff; what fails
+leaves. Phase 3 resolves the totals of those left, exactly. Equal vectors are one candidate that carries its smallest ids.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,9 +20,12 @@ from pyspark.sql import functions as F
 
 from labelloom.session import ensure_checkpoint_dir
 
-LISTS = 2
+LISTS = 4
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
+TILE = 1024  # candidates whose scores are in memory at a time
+HEAD = 8  # phase 1 reads one of so many entries of every list
+SPARSE = 16  # under one of so many entries left, single products are cheaper than a block
 
 
 def quantised(vector: str = "embedding", levels: int = 256):
@@ -48,6 +54,97 @@ def _long(x) -> int:
     return int(min(max(x, -(2**63)), 2**63 - 1))
 
 
+def _stretches(qs: np.ndarray, cs: np.ndarray, lists: int) -> list[np.ndarray]:
+    """Components by falling energy, in ``lists`` parts of even width."""
+    energy = np.sqrt((qs.astype(float) ** 2).sum(0)) * np.sqrt((cs.astype(float) ** 2).sum(0))
+    return [s for s in np.array_split(np.argsort(-energy, kind="stable"), lists) if len(s)]
+
+
+def local_best(qs: np.ndarray, cs: np.ndarray, lists: int, more: int) -> tuple[np.ndarray, np.ndarray]:
+    """Phase 1: (query, total) of the best entries of every list, looked for among the largest norms of its stretch."""
+    head = min(len(cs), max(more, -(-len(cs) // HEAD)))
+    picked = []
+    for stretch in _stretches(qs, cs, lists):
+        rows = np.argsort(-(cs[:, stretch].astype(float) ** 2).sum(1), kind="stable")[:head]
+        part = qs[:, stretch] @ cs[np.ix_(rows, stretch)].T
+        n = min(more, head)
+        picked.append(rows[np.argsort(-part, axis=1)[:, :n] if part.dtype == object else np.argpartition(-part, n - 1, axis=1)[:, :n]])
+    at = np.repeat(np.arange(len(qs)), sum(p.shape[1] for p in picked))
+    pairs = np.unique(np.stack([at, np.concatenate(picked, axis=1).ravel()]), axis=1)
+    return pairs[0], (qs[pairs[0]] * cs[pairs[1]]).sum(1)
+
+
+def reaching(qs: np.ndarray, cs: np.ndarray, least: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Phases 2 and 3: (query, candidate, total) of all totals that reach the query's cutoff, and the entries read.
+
+    A cutoff of minus infinity keeps every candidate. Sums beyond 53 bits (object arrays) are resolved without bounds.
+    """
+    stretches = _stretches(qs, cs, lists)
+    if qs.dtype == object:
+        total = qs @ cs.T
+        at, near = np.nonzero(total >= least.astype(object)[:, None])
+        return at, near, total[at, near], total.size * len(stretches)
+    norms = [np.stack([np.sqrt((x[:, s] ** 2).sum(1)) for s in stretches]) * (1 + 1e-9) for x in (qs, cs)]
+    share = (least / len(stretches))[:, None]
+    found, read = [], 0
+    for lo in range(0, len(cs), TILE):
+        tile = cs[lo : lo + TILE]
+        nq, nc = norms[0], norms[1][:, lo : lo + TILE]
+        total = np.zeros((len(qs), len(tile)))
+        alive = nq.T @ nc >= least[:, None]
+        sufficient = np.zeros_like(alive)
+        for k, stretch in enumerate(stretches):
+            at, near = np.nonzero(alive) if alive.mean() < 1 / SPARSE else (None, None)
+            if at is None:
+                some = np.flatnonzero(alive.any(0))
+                part = np.zeros_like(total)
+                part[:, some] = qs[:, stretch] @ tile[np.ix_(some, stretch)].T
+                read += len(qs) * len(some)
+                total += part
+                sufficient |= part >= share
+                rest = nq[k + 1 :].T @ nc[k + 1 :]
+                alive &= total + rest >= least[:, None]
+                if k + 1 < len(stretches):
+                    late = np.full_like(total, -np.inf)
+                    for m in range(k + 1, len(stretches)):
+                        np.maximum(late, np.multiply.outer(nq[m], nc[m]), out=late)
+                    alive &= sufficient | (late >= share)
+                else:
+                    alive &= sufficient
+            else:
+                part = np.einsum("ij,ij->i", qs[np.ix_(at, stretch)], tile[np.ix_(near, stretch)])
+                read += len(at)
+                total[at, near] += part
+                sufficient[at, near] |= part >= share[at, 0]
+                rest = np.einsum("ij,ij->j", nq[k + 1 :, at], nc[k + 1 :, near])
+                late = (nq[k + 1 :, at] * nc[k + 1 :, near]).max(0, initial=-np.inf)
+                alive[at, near] = (total[at, near] + rest >= least[at]) & (sufficient[at, near] | (late >= share[at, 0]))
+        at, near = np.nonzero(alive)
+        found.append((at, near + lo, total[at, near]))
+    return *(np.concatenate([f[k] for f in found]) for k in range(3)), read
+
+
+def _groups(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every stretch of equal values."""
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
+    return starts, np.r_[starts[1:], len(at)] if len(at) else starts
+
+
+def _best(at: np.ndarray, total: np.ndarray, near: np.ndarray, more: int, ties: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries sorted by query and falling total, cut to the ``more`` best of each query, with their ties on request."""
+    order = np.argsort(-total, kind="stable")
+    order = order[np.argsort(at[order], kind="stable")]
+    at, total, near = at[order], total[order], near[order]
+    starts, ends = _groups(at)
+    size = ends - starts
+    place = np.arange(len(at)) - np.repeat(starts, size)
+    keep = place < more
+    if ties:
+        edge = total[np.minimum(starts + more, ends) - 1] if len(starts) else total
+        keep |= (total == np.repeat(edge, size)).astype(bool)
+    return at[keep], total[keep], near[keep]
+
+
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = LISTS) -> DataFrame:
     """The k best candidates of every query: (query_id, rank from 1, vec_id, score), ties to the smaller vec_id.
 
@@ -71,25 +168,19 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int =
     asking = distinct.groupBy(F.pmod(F.xxhash64("v"), F.lit(q_blocks)).cast("int").alias("q")).agg(F.collect_list("v").alias("qv")).checkpoint()
     spread = blocks.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
 
-    def scored(batch: pa.RecordBatch) -> Iterator[tuple]:
-        """Per pair of blocks: query block, candidates, queries, partial scores by list, row number."""
+    def matrices(batch: pa.RecordBatch) -> Iterator[tuple]:
+        """Per pair of blocks: row number, query block, queries and candidates as matrices."""
         for i in range(batch.num_rows):
             c, q = batch.column("v")[i].values, batch.column("qv")[i].values
             width = max([1, *[int(np.diff(x.offsets.to_numpy()).max()) for x in (c, q) if len(x)]])
-            cs, qs = _exact(_matrix(c, width), _matrix(q, width))
-            cut = np.linspace(0, width, min(lists, width) + 1).astype(int)
-            yield batch.column("q")[i].as_py(), [qs[:, a:b] @ cs[:, a:b].T for a, b in zip(cut, cut[1:], strict=False)], i
+            yield i, batch.column("q")[i].as_py(), *_exact(_matrix(q, width), _matrix(c, width))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q, parts, _ in scored(batch):
-                total, n = sum(parts), parts[0].shape[1]
-                best = [np.argsort(-p, axis=1)[:, :more] if p.dtype == object else np.argpartition(-p, min(more, n) - 1, axis=1)[:, :more] for p in parts]
-                rows = []
-                for at in range(total.shape[0]):
-                    own = np.unique(np.concatenate([b[at] for b in best]))
-                    rows += [(at, _long(s)) for s in sorted(total[at, own], reverse=True)[:more]]
-                yield pa.record_batch([pa.array([q] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64())], names=["q", "at", "score"])
+            for _, q, qs, cs in matrices(batch):
+                at, total = local_best(qs, cs, lists, more)
+                at, total, _ = _best(at, total, np.zeros(len(at), int), more, ties=False)
+                yield pa.record_batch([pa.array([q] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([_long(x) for x in total], pa.int64())], names=["q", "at", "score"])
 
     first = spread.join(asking, "q").select("q", "v", "qv").mapInArrow(gather, "q int, at int, score long")
     order = Window.partitionBy("q", "at").orderBy(F.desc("score"))
@@ -98,30 +189,17 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int =
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q, parts, i in scored(batch):
+            for i, q, qs, cs in matrices(batch):
                 ids = batch.column("ids")[i].as_py()
                 cutoff = dict(batch.column("cutoffs")[i].as_py())
+                least = np.array([-np.inf if cutoff.get(k) is None else cutoff[k] for k in range(len(qs))], float if qs.dtype != object else object)
+                at, near, total, _ = reaching(qs, cs, least, lists)
+                # Ties at the last place stay until their ids are known.
+                at, total, near = _best(at, total, near, more, ties=True)
                 out = []
-                for at in range(parts[0].shape[0]):
-                    least = cutoff.get(at)
-                    mine = [p[at] for p in parts]
-                    if least is None:
-                        near = np.arange(len(ids))
-                    else:
-                        share = -(-least // len(parts))
-                        known = [p >= share for p in mine]
-                        near = np.flatnonzero(np.logical_or.reduce(known))
-                        # A list without an entry adds less than its share.
-                        bound = sum(np.where(m[near], p[near], share) for m, p in zip(known, mine, strict=True))
-                        near = near[bound >= least]
-                    score = sum(p[near] for p in mine)
-                    if least is not None:
-                        near, score = near[score >= least], score[score >= least]
-                    if len(near) > 4 * more:  # ties at the cutoff: only the best of this block can matter
-                        edge = np.sort(score)[-more]
-                        near, score = near[score >= edge], score[score >= edge]
-                    found = sorted((-_long(s), x) for s, c in zip(score, near, strict=True) for x in ids[c])[:more]
-                    out += [(at, -s, x) for s, x in found]
+                for lo, hi in zip(*_groups(at), strict=True):
+                    best = heapq.nsmallest(more, ((-_long(s), x) for s, c in zip(total[lo:hi], near[lo:hi], strict=True) for x in ids[c]))
+                    out += [(int(at[lo]), -s, x) for s, x in best]
                 yield pa.record_batch(
                     [pa.array([q] * len(out), pa.int32()), pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64())],
                     names=["q", "at", "score", "vec_id"],
@@ -129,9 +207,12 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int =
 
     known = asking.join(cutoffs, "q")
     found = spread.join(known, "q").select("q", "v", "ids", "qv", "cutoffs").mapInArrow(resolve, "q int, at int, score long, vec_id long")
-    best = found.withColumn("r", F.row_number().over(Window.partitionBy("q", "at").orderBy(F.desc("score"), "vec_id"))).where(F.col("r") <= more).drop("r")
+    best = found.withColumn("r", F.row_number().over(Window.partitionBy("q", "at").orderBy(F.desc("score"), "vec_id"))).where(F.col("r") <= more)
+    best = best.groupBy("q", "at").agg(F.collect_list(F.struct("score", "vec_id")).alias("best"))
     places = asking.select("q", F.posexplode("qv").alias("at", "v"))
-    named = asked.withColumnRenamed("vec_id", "query_id").join(places, "v").select("query_id", "q", "at").join(best, ["q", "at"])
+    # One row per distinct vector, so that many queries of one vector are a skew the join can split.
+    answers = places.join(best, ["q", "at"]).select("v", "best")
+    named = asked.withColumnRenamed("vec_id", "query_id").join(answers, "v").select("query_id", F.inline("best"))
     named = named.where(F.col("vec_id") != F.col("query_id"))
     # A query id with several vectors keeps its best k over all of them.
     named = named.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
