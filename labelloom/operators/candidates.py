@@ -19,33 +19,47 @@ from labelloom.operators.ranking import shuffled_head
 ORDER = ("template_pos", "opener_pos", "middle_pos", "ending_pos")
 
 
-def combinations(phrases: DataFrame, templates: DataFrame) -> DataFrame:
+# Combinations of one opener that one task makes in one go.
+BLOCK = 1 << 14
+
+
+def combinations(phrases: DataFrame, templates: DataFrame, block: int = BLOCK) -> DataFrame:
     """Every combination within a label, with the four positions.
 
-    Middles, endings and templates fold to one array row per label; the openers stay rows and carry
-    the parallelism. Joins are plain equi-joins on the label, so the optimizer picks the strategy
-    by size and skew handling applies.
+    Templates, middles and endings of a label fold to arrays (they are configured pools); openers stay rows. A
+    combination of an opener is a number in mixed radix: the digits are found by division and looked up in the arrays.
+    Ranges of ``block`` numbers are dealt to all tasks by hash, so the product is spread whatever the number of labels,
+    and only pools are shuffled. A label without one of the slots has no combination; repeated positions all count.
     """
-    def folded(df: DataFrame, value: str, name: str) -> DataFrame:
-        return df.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", value))).alias(name))
+    def items(slot: str):
+        return F.sort_array(F.collect_list(F.when(F.col("slot") == slot, F.struct("pos", "phrase"))))
 
+    folded = phrases.groupBy("label").agg(items("middle").alias("_m"), items("ending").alias("_e")).where("size(_m) > 0 AND size(_e) > 0")
+    shapes = templates.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "template"))).alias("_t"))
     openers = phrases.where("slot = 'opener'").select(
         "label", F.col("pos").alias("opener_pos"), F.col("phrase").alias("opener")
     )
-    return (
-        openers.join(folded(templates, "template", "_t"), "label")
-        .join(folded(phrases.where("slot = 'middle'"), "phrase", "_m"), "label")
-        .join(folded(phrases.where("slot = 'ending'"), "phrase", "_e"), "label")
-        .withColumn("_t", F.explode("_t"))
-        .withColumn("_m", F.explode("_m"))
-        .withColumn("_e", F.explode("_e"))
-        .select(
-            "label",
-            F.col("_t.pos").alias("template_pos"), "opener_pos",
-            F.col("_m.pos").alias("middle_pos"), F.col("_e.pos").alias("ending_pos"),
-            F.col("_t.template").alias("template"), "opener",
-            F.col("_m.phrase").alias("middle"), F.col("_e.phrase").alias("ending"),
-        )
+    ranges = (
+        openers.join(folded.join(shapes, "label"), "label")
+        .withColumn("_n", F.expr("bigint(size(_t)) * size(_m) * size(_e)"))
+        .withColumn("_lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(block).cast("long"))))
+    )
+    # A given number, as adaptive execution would join these few rows into one task again.
+    tasks = int(phrases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = ranges.repartition(tasks, "label", "opener_pos", "opener", "_lo").withColumn(
+        "_k", F.explode(F.sequence("_lo", F.least(F.col("_lo") + (block - 1), F.col("_n") - 1)))
+    )
+    return numbered.select(
+        "label", "opener_pos", "opener",
+        F.expr("_t[int(_k div (size(_m) * size(_e)))]").alias("_t"),
+        F.expr("_m[int((_k div size(_e)) % size(_m))]").alias("_m"),
+        F.expr("_e[int(_k % size(_e))]").alias("_e"),
+    ).select(
+        "label",
+        F.col("_t.pos").alias("template_pos"), "opener_pos",
+        F.col("_m.pos").alias("middle_pos"), F.col("_e.pos").alias("ending_pos"),
+        F.col("_t.template").alias("template"), "opener",
+        F.col("_m.phrase").alias("middle"), F.col("_e.phrase").alias("ending"),
     )
 
 

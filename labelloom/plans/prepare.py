@@ -122,14 +122,17 @@ def prepare_dataset(
     """Map, clean, de-duplicate, check, write the table and its reports; returns the written table."""
     spark = raw.sparkSession
     annotated = annotate_labels(standardize_columns(raw, text, label), spec)
-    checked = prepared_table(annotated, order, remove_duplicates).persist(StorageLevel.MEMORY_AND_DISK)
-    try:  # check first: a bad run leaves the table of an earlier one alone
-        require_rows(checked, "no rows remain after label mapping and clean-up")
-        require_labels(checked, "label")
-        write_table(checked, output, fmt)
-    finally:
-        checked.unpersist()
-    prepared = read_csv(spark, output_parts(spark, output), na_tokens=()) if fmt == "csv" else spark.read.parquet(output)
+
+    def written(folder: str) -> DataFrame:
+        return read_csv(spark, output_parts(spark, folder), na_tokens=()) if fmt == "csv" else spark.read.parquet(folder)
+
+    def checked(folder: str) -> None:
+        require_rows(written(folder), "no rows remain after label mapping and clean-up")
+        require_labels(written(folder), "label")
+
+    # Checked before it is published: a bad run leaves the table of an earlier one alone.
+    write_table(prepared_table(annotated, order, remove_duplicates), output, fmt, checked)
+    prepared = written(output)
     if reports:
         kept = prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
