@@ -46,17 +46,17 @@ def with_terms(
 def term_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
     """(term, tf, df): corpus and document frequency in one aggregate.
 
-    Every row sends its terms once for tf and its distinct terms once for df, so no row id is
-    shuffled and counts combine in the tasks first.
+    Every row sends its terms once, in order, each beside the one before it, so that the first of equal
+    terms counts for df. No row id is shuffled and counts combine in the tasks first.
     """
-    hits = F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    docs = F.transform(
-        F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
-    )
+    ordered = F.sort_array(terms)
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), ordered), F.lit(1), F.size(ordered))
+    paired = F.arrays_zip(ordered.alias("term"), before.alias("before"))
+    first = ~F.col("term").eqNullSafe(F.col("before"))
     return (
-        df.select(F.inline(F.concat(hits, docs)))
+        df.select(F.inline(paired).alias("term", "before"))
         .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        .agg(F.count("*").alias("tf"), F.sum(first.cast("long")).alias("df"))
     )
 
 
