@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +52,10 @@ def null_to_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def _decode_entities(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+# Rows go to Python by the hundred, not by the ten thousand of an Arrow batch, which long pages make as large as they like.
+@F.udf(T.StringType(), useArrow=False)
+def _decode_entities(value: str | None) -> str | None:
+    return None if value is None else html.unescape(value)
 
 
 def unescape_entities(c: Column) -> Column:

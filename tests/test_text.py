@@ -84,3 +84,12 @@ def test_cleaning_looks_for_what_is_kept(spark):
     plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
     assert "[^a-z0-9!?']" not in plan
     assert all(r.cleaned == re.sub(r"[^a-z0-9!?']+", " ", r.text.lower()).strip() for r in cleaned.collect())
+
+
+def test_entities_are_decoded_in_small_batches(spark):
+    """An Arrow batch holds 10,000 pages, however long they are."""
+    frame = spark.createDataFrame([(None,), ("a &amp; b",), ("c",)], "text string")
+    decoded = frame.select(t.unescape_entities(F.col("text")).alias("text"))
+    plan = decoded._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert [r.text for r in decoded.collect()] == [None, "a & b", "c"]
