@@ -38,11 +38,15 @@ def argmax_label(scores: Column, labels: Sequence[str]) -> Column:
     return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
 
 
-def ranked_labels(scores: Column, labels: Sequence[str]) -> Column:
-    """array<struct<label, score>>, best first; equal scores keep the label order."""
+def ranked_labels(scores: Column, labels: Sequence[str], by: Column | None = None) -> Column:
+    """array<struct<label, score>>, best first; equal scores keep the label order.
+
+    ``by`` orders in place of the scores: logits stay apart where their probabilities round to the same number.
+    """
+    by = scores if by is None else by
     entries = F.array(
         *[
-            F.struct(scores[i].alias("score"), F.lit(-i).alias("tie"), F.lit(label).alias("label"))
+            F.struct(by[i].alias("by"), F.lit(-i).alias("tie"), F.lit(label).alias("label"), scores[i].alias("score"))
             for i, label in enumerate(labels)
         ]
     )

@@ -43,8 +43,8 @@ def linear_scores(
     scored = held(weighted, logits=_logits(_coefficients(known, len(labels)), intercepts))
     return (
         held(scored, probabilities=softmax(F.col("logits")))
-        .withColumn("predicted_label", argmax_label(F.col("probabilities"), labels))
-        .withColumn("scored", ranked_labels(F.col("probabilities"), labels))
+        .withColumn("predicted_label", argmax_label(F.col("logits"), labels))
+        .withColumn("scored", ranked_labels(F.col("probabilities"), labels, F.col("logits")))
         .select(key, "predicted_label", "probabilities", "scored")
     )
 
@@ -105,7 +105,7 @@ def judged(
     chosen = held(_chosen(df, known, intercepts), probabilities=softmax(F.col("logits")))
     return (
         chosen.withColumn("predicted_label", _label(labels))
-        .withColumn("scored", ranked_labels(F.col("probabilities"), labels))
+        .withColumn("scored", ranked_labels(F.col("probabilities"), labels, F.col("logits")))
         .withColumn("contributions", _contributions(known, labels, top_n))
         .drop("terms", "weights", "logits", "at")
     )

@@ -194,3 +194,14 @@ def test_error_analysis_bundle(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "a" / "top_confusions")).count() <= 5
     everything = analysis.error_analysis(predictions, "ord", None)
     assert everything.wrong.count() == predictions.where("not is_correct").count()
+
+
+def test_ranks_follow_the_logits_where_probabilities_round_together(spark):
+    from labelloom.operators import linear
+
+    model = spark.createDataFrame([("good", 1.0, [0.3, 0.1])], "term string, idf double, coefs array<double>")
+    table = spark.createDataFrame([(1, ["good"])], "id long, terms array<string>")
+    row = linear.linear_scores(table, model, ["a", "b"], [0.0, 0.2], "id", 5).first()
+    assert 0.1 + 0.2 > 0.3 and row.probabilities[0] == row.probabilities[1]
+    assert row.predicted_label == "b" and [e.label for e in row.scored] == ["b", "a"]
+    assert linear.explain(table, model, ["a", "b"], [0.0, 0.2], "id", 5).first().predicted_label == "b"
