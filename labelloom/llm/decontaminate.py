@@ -56,15 +56,18 @@ def _hashed(df: DataFrame, *words: str) -> DataFrame:
     return _held(df, **{f"h{w}": F.transform(w, lambda x: F.xxhash64(x)) for w in words})
 
 
-def _windows(words: tuple[str, ...], width: Column) -> Column:
-    """Array of (at, hs): start and hashes, one per array of hashed words, of the windows at every word.
+def _windows(df: DataFrame, words: tuple[str, ...], widths: list[int], own: str | None = None) -> DataFrame:
+    """Replace ``words``, arrays of hashed words of equal length, by (at, h): start and hash of every window of every width.
 
-    ``words`` names columns of equal length: an expression in their place would be worked out again for every window.
+    With ``own``, a row has windows of the width in that column only. Positions are rows and every word is read by its
+    place, so that windows are hashed in generated code; slices would copy the words of each one.
     """
-    last = F.size(words[0]) - width
+    last = F.size(words[0]) - min(widths)
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    hashes = lambda at: F.array_distinct(F.array(*[F.xxhash64(F.slice(w, at + 1, width)) for w in words]))
-    return F.transform(starts, lambda at: F.struct(at.alias("at"), hashes(at).alias("hs")))
+    placed = df.select("*", F.explode(starts).alias("at"))
+    fits = lambda n: (F.size(words[0]) - F.col("at") >= n) & (F.col(own) == n if own else F.lit(True))
+    hashes = [F.when(fits(n), F.xxhash64(*[F.get(F.col(w), F.col("at") + k) for k in range(n)])) for n in widths for w in words]
+    return placed.select(*[c for c in df.columns if c not in words], "at", F.explode(F.array(*hashes)).alias("h")).where(F.col("h").isNotNull())
 
 
 def _hinted(df: DataFrame) -> DataFrame:
@@ -90,19 +93,16 @@ def leaked_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     if not widths:
         return docs.sparkSession.createDataFrame([], "k1 long, k2 long, item_id long, cover double, exact boolean")
     groups = items.groupBy("a", "b", "v").agg(F.collect_set("item_id").alias("ids")).withColumn("g", F.xxhash64("v", "a")).withColumn("width", width).checkpoint()
-    windows = _hashed(groups, "a", "b").select("g", F.explode(_windows(("ha", "hb"), F.col("width"))).alias("x"))
-    spots = windows.select("g", "x.at", F.explode("x.hs").alias("h")).checkpoint()
+    spots = _windows(_hashed(groups, "a", "b").select("g", "width", "ha", "hb"), ("ha", "hb"), widths, "width").select("g", "at", "h").distinct().checkpoint()
     wanted_hashes = _hinted(spots.select("h").distinct())
 
-    everywhere = lambda *words: F.concat(*[_windows(words, F.lit(w)) for w in widths])
     probes = _hashed(formed(docs.select(*text_key(text_col), F.col(text_col).alias("t")), "t"), "a", "b")
-    probes = probes.select("k1", "k2", F.explode(F.array_distinct(F.flatten(F.transform(everywhere("ha", "hb"), lambda x: x["hs"])))).alias("h"))
+    probes = _windows(probes.select("k1", "k2", "ha", "hb"), ("ha", "hb"), widths).drop("at")
     found = probes.join(wanted_hashes, "h", "left_semi").select("k1", "k2").distinct().checkpoint()
     texts = docs.select(*text_key(text_col), F.col(text_col).alias("t")).join(_hinted(found), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("t").alias("t"))
     texts = formed(texts, "t", values=True).withColumnsRenamed({"a": "ta", "b": "tb", "v": "tv"}).checkpoint()
 
-    places = _hashed(texts, "ta", "tb").select("k1", "k2", F.explode(everywhere("hta", "htb")).alias("x"))
-    places = places.select("k1", "k2", F.col("x.at").alias("pos"), F.explode("x.hs").alias("h"))
+    places = _windows(_hashed(texts, "ta", "tb").select("k1", "k2", "hta", "htb"), ("hta", "htb"), widths).withColumnRenamed("at", "pos")
     hits = places.join(spots, "h").select("k1", "k2", "g", "pos", "at").distinct()
     wide = hits.join(texts, ["k1", "k2"]).join(groups.select("g", "a", "v", "width"), "g")
     part = lambda c, at: F.slice(c, F.col(at) + 1, F.col("width"))

@@ -183,6 +183,20 @@ def test_decontamination_matches_a_scan_of_all_windows(spark):
         assert sorted(tuple(r) for r in decontaminate.contaminated(table, items).collect()) == want
 
 
+def test_windows_are_hashed_without_copying_their_words(spark):
+    rng = random.Random(29)
+    rows = [(i, 5 + i % 2, words := [rng.randint(0, 9) for _ in range(i % 13)], [w // 2 for w in words]) for i in range(40)]
+    table = spark.createDataFrame(rows, "id long, width int, x array<long>, y array<long>")
+    one = spark.createDataFrame([(i, n, at, part) for i, _, *both in rows for n in (5, 6) for w in both for at in range(len(w) - n + 1) if (part := w[at : at + n])], "id long, n int, at int, part array<long>")
+    want = one.select("id", "at", F.xxhash64("part").alias("h"), "n")
+    got = decontaminate._windows(table, ("x", "y"), [5, 6])
+    assert sorted(tuple(r) for r in got.select("id", "at", "h").collect()) == sorted(tuple(r)[:3] for r in want.collect())
+    own = decontaminate._windows(table, ("x", "y"), [5, 6], "width").select("id", "at", "h")
+    assert sorted(tuple(r) for r in own.collect()) == sorted(tuple(r)[:3] for r in want.where(F.col("n") == 5 + F.col("id") % 2).collect())
+    plan = got._jdf.queryExecution().toString()
+    assert "slice(" not in plan and "lambda" not in plan
+
+
 # 7 substring dedup --------------------------------------------------------------------------------------------------
 
 
