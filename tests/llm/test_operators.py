@@ -284,6 +284,16 @@ def test_one_row_of_each_class_stays(spark):
     assert jaccard.similar_classes(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_sets_with_chance_matches_are_not_compared(spark):
+    rng = random.Random(31)
+    passages = [text_of(rng, 100) for _ in range(20)]
+    texts = [f"{passages[i // 2]} {text_of(rng, 400)}" for i in range(40)]  # a fifth of the shingles occur twice
+    texts += [near_copy(rng, texts[0], 3)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], DOCS)
+    _, passing = jaccard._profiles(docs, "doc_id", "text", 5, 80, 100, 24)
+    assert 2 <= passing.count() < 10
+
+
 # 9 HTML -------------------------------------------------------------------------------------------------------------
 
 
