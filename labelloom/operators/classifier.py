@@ -16,15 +16,15 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 import pyarrow as pa
 
 from labelloom.config import FeatureSpec
 from labelloom.functions.numeric import argmax_label, ranked_labels, round_even
+from labelloom.functions.text import clean, word_array
 from labelloom.operators.distribution import attach_weights, balanced_weights
-from labelloom.operators.features import term_statistics, vocabulary, with_idf, with_terms
-from labelloom.session import label_table, small_table
+from labelloom.operators.features import ngrams, term_statistics, tokens, vocabulary, with_idf, with_terms
+from labelloom.session import ensure_checkpoint_dir, label_table, small_table
 
 
 class TermBuilder(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -109,48 +109,45 @@ def fit_text_classifier(
     """Vocabulary and idf from the training rows, then a weighted multinomial regression.
 
     Only the vocabulary (at most ``max_features`` rows) and the label list come to the driver. The
-    gradient is a tree aggregate over the cached feature vectors.
+    gradient is a tree aggregate over blocks of the feature vectors, which the regression keeps itself.
     """
     renamed = train.select(F.col(text).alias("text"), F.col(label).alias("label"))
     builder = TermBuilder(inputCol="text", outputCol="terms", low=spec.ngram_range[0], high=spec.ngram_range[1])
-    prepared = builder.transform(renamed).select("label", "terms").persist(StorageLevel.MEMORY_AND_DISK)
-    features = None
-    try:
-        vocab = with_idf(vocabulary(term_statistics(prepared), spec.min_df, spec.max_features), prepared)
-        rows = vocab.orderBy("term_id").select("term", "idf").collect()
-        if not rows:
-            raise ValueError("no term occurs in enough training rows")
-        counter = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], "terms", "_counts")
-        scaler = ElementwiseProduct(
-            scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_counts", outputCol="_scaled"
-        )
-        norm = Normalizer(p=2.0, inputCol="_scaled", outputCol="features")
-        weights = balanced_weights(prepared).orderBy("label").collect()
-        labels = [r["label"] for r in weights]
-        if len(labels) < 2:
-            raise ValueError("at least two labels are needed to train")
-        n_rows = sum(r["count"] for r in weights)
-        ids = label_table(train.sparkSession, labels)
-        vectors = norm.transform(scaler.transform(counter.transform(prepared)))
-        table = small_table(
-            train.sparkSession,
-            {"label": labels, "weight": [r["weight"] if spec.balanced else 1.0 for r in weights]},
-            {"weight": pa.float64()},
-        )
-        features = (
-            attach_weights(vectors.join(ids, "label"), table, len(labels))
-            .select(F.col("label_id").cast("double").alias("label"), "weight", "features")
-            # Every iteration is one job: a small table is not worth many tasks. Never more than now.
-            .coalesce(-(-n_rows // ROWS_PER_TASK))
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
-        # Balanced weights sum to the row count, so both weightings share the same penalty.
-        regression = LogisticRegression(
-            family="multinomial", weightCol="weight", standardization=False, elasticNetParam=0.0,
-            regParam=1.0 / (spec.c * n_rows), maxIter=spec.max_iter, tol=1e-5,
-        ).fit(features)
-    finally:
-        if features is not None:
-            features.unpersist()
-        prepared.unpersist()
+    # Cleaning is done once, but only words are kept, in a checkpoint: the n-grams of a text take many times its size, and
+    # writing a cached partition of them holds it in the heap as a whole. The rows keep their order, and so the sums theirs.
+    ensure_checkpoint_dir(train.sparkSession)
+    words = renamed.select("label", F.array_join(tokens(clean(F.col("text"))), " ").alias("words")).checkpoint()
+    prepared = words.select("label", ngrams(word_array(F.col("words")), *spec.ngram_range).alias("terms"))
+    vocab = with_idf(vocabulary(term_statistics(prepared), spec.min_df, spec.max_features), prepared)
+    rows = vocab.orderBy("term_id").select("term", "idf").collect()
+    if not rows:
+        raise ValueError("no term occurs in enough training rows")
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], "terms", "_counts")
+    scaler = ElementwiseProduct(
+        scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_counts", outputCol="_scaled"
+    )
+    norm = Normalizer(p=2.0, inputCol="_scaled", outputCol="features")
+    weights = balanced_weights(prepared).orderBy("label").collect()
+    labels = [r["label"] for r in weights]
+    if len(labels) < 2:
+        raise ValueError("at least two labels are needed to train")
+    n_rows = sum(r["count"] for r in weights)
+    ids = label_table(train.sparkSession, labels)
+    vectors = norm.transform(scaler.transform(counter.transform(prepared)))
+    table = small_table(
+        train.sparkSession,
+        {"label": labels, "weight": [r["weight"] if spec.balanced else 1.0 for r in weights]},
+        {"weight": pa.float64()},
+    )
+    features = (
+        attach_weights(vectors.join(ids, "label"), table, len(labels))
+        .select(F.col("label_id").cast("double").alias("label"), "weight", "features")
+        # Every iteration is one job: a small table is not worth many tasks. Never more than now.
+        .coalesce(-(-n_rows // ROWS_PER_TASK))
+    )
+    # Balanced weights sum to the row count, so both weightings share the same penalty.
+    regression = LogisticRegression(
+        family="multinomial", weightCol="weight", standardization=False, elasticNetParam=0.0,
+        regParam=1.0 / (spec.c * n_rows), maxIter=spec.max_iter, tol=1e-5,
+    ).fit(features)
     return TextClassifier(PipelineModel([builder, counter, scaler, norm, regression]), labels)

@@ -205,3 +205,11 @@ def test_ranks_follow_the_logits_where_probabilities_round_together(spark):
     assert 0.1 + 0.2 > 0.3 and row.probabilities[0] == row.probabilities[1]
     assert row.predicted_label == "b" and [e.label for e in row.scored] == ["b", "a"]
     assert linear.explain(table, model, ["a", "b"], [0.0, 0.2], "id", 5).first().predicted_label == "b"
+
+
+def test_training_caches_no_terms(spark, training, monkeypatch):
+    """The n-grams of long texts, cached, ran executors out of memory; the regression keeps the only copy of its vectors."""
+    monkeypatch.setattr(type(training), "persist", lambda *_: pytest.fail("a table is cached"))
+    odd = spark.createDataFrame([(90, None, "joy"), (91, "  ", "fear"), (92, "!!", "anger")], training.schema)
+    model = fit_text_classifier(training.unionByName(odd), FeatureSpec(min_df=1, max_features=50))
+    assert model.labels == ["anger", "fear", "joy"] and "happy" in model.model.stages[1].vocabulary
